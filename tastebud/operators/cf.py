@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import routes as RT
 from ..functions import similarity as S
+from .. import session as SE
 from . import ratings as RA
 from . import similarity as SIM
 
@@ -68,28 +69,39 @@ def weighted_mean(top: DataFrame) -> DataFrame:
 
 
 def cf_parts(train: DataFrame, targets: DataFrame, n: int = S.TOP_N,
-             exclude_self: bool = False, dedup_how: str = "max") -> CFParts:
+             exclude_self: bool = False, dedup_how: str = "max",
+             materialize: bool = True) -> CFParts:
     """Build every stage of the CF plan.
 
     ``train``: (user_id, item_id, stars) raw rows; ``targets``: (user_id,
     item_id, ...) distinct pairs.  ``exclude_self`` drops b0 = b from the
     candidates (off by default, as in the surveyed behaviour).
+
+    With ``materialize`` the deduplicated ratings and the routed targets are
+    written once to the shared checkpoint folder: they feed four and two
+    consumers whose pruned sub-plans differ, so Spark could not reuse their
+    shuffles, and the lineage of the long plan is cut there.
     """
-    r = RA.dedup(train, dedup_how)
-    um = RA.user_mean(train)
+    r = RA.dedup_with_raw(train, dedup_how)
+    if materialize:
+        r = SE.materialize(r, "cf_dedup")
+    um = RA.user_mean_from_dedup(r)
     ist = RA.item_mean(r)
     routed = route_targets(targets, um, ist)
+    if materialize:
+        routed = SE.materialize(routed, "cf_routed")
     warm = routed.where(F.col("route") == RT.BOTH).select("user_id", "item_id")
     cands = SIM.candidate_neighbours(warm, r)
     if exclude_self:
         cands = cands.where(F.col("item_id") != F.col("neighbour_id"))
     pairs = SIM.candidate_pairs(cands)
-    stats = SIM.pair_statistics(pairs, r, ist)
+    stats = SIM.pair_statistics(pairs, r, ist, materialize=materialize)
     weights = SIM.pair_weights(stats)
     neigh = SIM.weighted_neighbours(cands, weights)
     top = top_neighbours(neigh, n)
     scores = weighted_mean(top)
-    return CFParts(r, um, ist, routed, cands, pairs, stats, weights, neigh, top, scores)
+    return CFParts(r.select("user_id", "item_id", "stars"), um, ist, routed, cands, pairs,
+                   stats, weights, neigh, top, scores)
 
 
 def predict(parts: CFParts, decimals: int | None = 6) -> DataFrame:

@@ -20,6 +20,25 @@ def dedup(train: DataFrame, how: str = "max") -> DataFrame:
     return train.groupBy("user_id", "item_id").agg(agg("stars").alias("stars"))
 
 
+def dedup_with_raw(train: DataFrame, how: str = "max") -> DataFrame:
+    """Dedup plus the raw sum and row count of each (user, item).
+
+    The user mean over raw rows (duplicates included) is then exact from this
+    one table: sum(s_raw) / sum(n_raw) per user.
+    """
+    agg = {"max": F.max, "min": F.min, "avg": F.avg}[how]
+    return (train.groupBy("user_id", "item_id")
+            .agg(agg("stars").alias("stars"), F.sum("stars").alias("s_raw"),
+                 F.count(F.lit(1)).alias("n_raw")))
+
+
+def user_mean_from_dedup(r: DataFrame) -> DataFrame:
+    """User mean over raw rows computed from ``dedup_with_raw`` output."""
+    return (r.groupBy("user_id")
+            .agg((F.sum("s_raw") / F.sum("n_raw")).alias("mean_stars"),
+                 F.sum("n_raw").alias("n")))
+
+
 def user_mean(train: DataFrame) -> DataFrame:
     """Mean over the raw rows (duplicates included) and row count per user."""
     return (train.groupBy("user_id")

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import session as SE
 from ..functions import similarity as S
 
 
@@ -38,27 +39,43 @@ def candidate_pairs(cands: DataFrame) -> DataFrame:
     return with_pair_key(cands).select("item_i", "item_j").distinct()
 
 
-def pair_statistics(pairs: DataFrame, r: DataFrame, item_stats: DataFrame) -> DataFrame:
+def pair_statistics(pairs: DataFrame, r: DataFrame, item_stats: DataFrame,
+                    materialize: bool = False) -> DataFrame:
     """Per pair: n_co and the centred / closeness sums over co-raters.
 
     Output: item_i, item_j, m_i, m_j, n_co, s_close, s_ij, ss_i, ss_j.  Pairs
     without co-raters keep n_co = 0 (they are scored from the item means).
+    With ``materialize`` the annotated pair table (read by both union
+    branches) is written once to the checkpoint folder.
     """
     st = item_stats.select("item_id", "mean_stars", "n")
     p = (pairs
          .join(st.toDF("item_i", "m_i", "d_i"), "item_i")
          .join(st.toDF("item_j", "m_j", "d_j"), "item_j")
          .withColumn("drive_i", F.col("d_i") <= F.col("d_j"))
-         .withColumn("drive", F.when(F.col("drive_i"), F.col("item_i")).otherwise(F.col("item_j")))
-         .withColumn("probe", F.when(F.col("drive_i"), F.col("item_j")).otherwise(F.col("item_i"))))
-
+         .select("item_i", "item_j", "m_i", "m_j",
+                 F.when(F.col("drive_i"), F.col("item_i")).otherwise(F.col("item_j")).alias("drive"),
+                 F.when(F.col("drive_i"), F.col("item_j")).otherwise(F.col("item_i")).alias("probe")))
+    if materialize:
+        p = SE.materialize(p, "cf_pairs")
+
+    # the expansion carries only (drive, probe, user, rating): it is the one
+    # large shuffle of the plan; item order and means are restored after the
+    # probe, on the few rows that found a co-rater
     rd = r.select(F.col("item_id").alias("drive"), "user_id", F.col("stars").alias("r_d"))
     rp = r.select(F.col("item_id").alias("probe"), "user_id", F.col("stars").alias("r_p"))
-    co = (p.select("item_i", "item_j", "m_i", "m_j", "drive_i", "drive", "probe")
-          .join(rd, "drive")
-          .join(rp, ["probe", "user_id"]))
-    r_i = F.when(F.col("drive_i"), F.col("r_d")).otherwise(F.col("r_p"))
-    r_j = F.when(F.col("drive_i"), F.col("r_p")).otherwise(F.col("r_d"))
+    hits = (p.select("drive", "probe")
+            .join(rd, "drive")
+            .join(rp, ["probe", "user_id"]))
+    d_first = F.col("drive") <= F.col("probe")
+    means = item_stats.select("item_id", "mean_stars")
+    co = (hits.select(F.least("drive", "probe").alias("item_i"),
+                      F.greatest("drive", "probe").alias("item_j"),
+                      F.when(d_first, F.col("r_d")).otherwise(F.col("r_p")).alias("r_i"),
+                      F.when(d_first, F.col("r_p")).otherwise(F.col("r_d")).alias("r_j"))
+          .join(means.toDF("item_i", "m_i"), "item_i")
+          .join(means.toDF("item_j", "m_j"), "item_j"))
+    r_i, r_j = F.col("r_i"), F.col("r_j")
     ci, cj = r_i - F.col("m_i"), r_j - F.col("m_j")
 
     zero = F.lit(0.0)

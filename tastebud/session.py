@@ -62,3 +62,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/…) "
         "so lineage cuts survive executor loss")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage (a lost executor re-reads files instead of
+    recomputing the plan), lets several consumers share one computation even
+    when column pruning makes their sub-plans differ, and gives AQE exact
+    sizes for its join choices.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
