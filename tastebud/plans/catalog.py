@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import routes as RT
 from ..operators import cf as CF
 from ..operators import evaluate as EV
+from ..operators import features as FE
+from ..operators import hybrid as HY
+from ..operators import model as MO
 from ..operators import ratings as RA
 from ..operators import similarity as SIM
 from ..sources import fixtures as FX
@@ -173,6 +176,107 @@ def prediction_lines(spark, sf_dir):
     return sinks.prediction_lines(_cf_scored(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- profiles, features
+def _tv(r):
+    return r.where(F.col("split").isin("train", "val"))
+
+
+@query
+def item_profiles(spark, sf_dir):
+    return FX.items(spark, sf_dir)
+
+
+@query
+def user_profiles(spark, sf_dir):
+    return FX.users(spark, sf_dir)
+
+
+@query
+def item_categories(spark, sf_dir):
+    return FE.item_categories(FX.items(spark, sf_dir))
+
+
+@query
+def category_vocab(spark, sf_dir):
+    return FE.category_vocab(FX.items(spark, sf_dir))
+
+
+def _item_ids(spark, sf_dir, r):
+    items = FX.items(spark, sf_dir, r)
+    return FE.item_category_ids(items, FE.category_vocab(items))
+
+
+@query
+def item_multi_hot(spark, sf_dir):
+    r = FX.ratings(spark, sf_dir)
+    return FE.multi_hot_rows(_tv(r), _item_ids(spark, sf_dir, r))
+
+
+@query
+def item_multi_hot_filled(spark, sf_dir):
+    r = FX.ratings(spark, sf_dir)
+    return FE.multi_hot_rows(_tv(r), _item_ids(spark, sf_dir, r), fill=True)
+
+
+@query
+def feature_rows(spark, sf_dir):
+    r = FX.ratings(spark, sf_dir)
+    rows = _tv(r).select("user_id", "item_id", "stars", "split")
+    return FE.feature_rows(rows, FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r),
+                           _item_ids(spark, sf_dir, r))
+
+
+@query
+def first_occurrence(spark, sf_dir):
+    return FE.first_occurrence(_tv(FX.ratings(spark, sf_dir)), "user_id")
+
+
+@query
+def known_users(spark, sf_dir):
+    return RA.known_keys(FX.ratings(spark, sf_dir), "user_id")
+
+
+@query
+def known_items(spark, sf_dir):
+    return RA.known_keys(FX.ratings(spark, sf_dir), "item_id")
+
+
+@query
+def user_history(spark, sf_dir):
+    return RA.history(FX.split_ratings(FX.ratings(spark, sf_dir), "train"), "user_id", "item_id")
+
+
+@query
+def item_raters(spark, sf_dir):
+    return RA.history(FX.split_ratings(FX.ratings(spark, sf_dir), "train"), "item_id", "user_id")
+
+
+def _model_routed(r):
+    ku, ki = MO.known_keys(_tv(r))
+    return MO.route_targets(FX.targets(r), ku, ki)
+
+
+@query
+def model_routes(spark, sf_dir):
+    return _model_routed(FX.ratings(spark, sf_dir)).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def target_features(spark, sf_dir):
+    r = FX.ratings(spark, sf_dir)
+    return MO.target_features(_model_routed(r), FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r))
+
+
+@query
+def hybrid_blend(spark, sf_dir):
+    """Blend and routes with the deterministic profile stand-in as model score."""
+    r = FX.ratings(spark, sf_dir)
+    tf = MO.target_features(_model_routed(r), FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r))
+    tf = tf.withColumn("model", MO.profile_score())
+    cf = CF.predict(CF.cf_parts(FX.split_ratings(r, "train"), FX.targets(r)), decimals=None)
+    return HY.blend_scores(tf, cf.select("user_id", "item_id", F.col("prediction").alias("cf"), "n_neighbours"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -122,6 +122,9 @@ cfp AS (
          round(CASE WHEN t.route = 'both' THEN coalesce(sc.num / nullif(sc.den, 0), t.user_mean)
                     WHEN t.route = 'user_only' THEN t.user_mean
                     ELSE CAST(3.75 AS DOUBLE) END, 6) AS prediction,
+         CASE WHEN t.route = 'both' THEN coalesce(sc.num / nullif(sc.den, 0), t.user_mean)
+              WHEN t.route = 'user_only' THEN t.user_mean
+              ELSE CAST(3.75 AS DOUBLE) END AS pred_raw,
          CAST(coalesce(sc.n_neighbours, 0) AS BIGINT) AS n_neighbours, t.route
   FROM routed t LEFT JOIN sc ON sc.user_id = t.user_id AND sc.item_id = t.item_id)
 """
@@ -186,3 +189,112 @@ GROUP BY b.bucket"""))
 _add("prediction_lines", cf_sql(
     "SELECT concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), "
     "CAST(prediction AS VARCHAR)) AS line FROM cfp"))
+
+# ---------------------------------------------------------------- profiles, features
+CATS = """
+ic AS (
+  SELECT DISTINCT item_id, category
+  FROM (SELECT item_id, unnest(string_split(categories, ', ')) AS category
+        FROM fx_items WHERE categories IS NOT NULL AND categories <> '') x),
+vocab AS (
+  SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS category_id
+  FROM (SELECT DISTINCT category FROM ic) c),
+iid AS (
+  SELECT ic.item_id, count(*) AS n,
+         string_agg(CAST(v.category_id AS VARCHAR), ',' ORDER BY v.category_id) AS ids
+  FROM ic JOIN vocab v ON v.category = ic.category GROUP BY ic.item_id),
+tv AS (SELECT user_id, item_id, stars, split FROM fx_ratings WHERE split IN ('train', 'val'))
+"""
+
+PROFILE = with_ctes(FX, USERS, ITEMS, CATS)
+
+_add("item_profiles", with_ctes(FX, ITEMS) +
+     "SELECT item_id, stars, review_count, is_open, categories FROM fx_items")
+_add("user_profiles", with_ctes(FX, USERS) +
+     "SELECT user_id, review_count, average_stars, useful, funny, cool, fans FROM fx_users")
+_add("item_categories", PROFILE + "SELECT item_id, category FROM ic")
+_add("category_vocab", PROFILE + "SELECT category, category_id FROM vocab")
+_add("item_multi_hot", PROFILE + """
+SELECT t.item_id, iid.n AS n_categories, iid.ids AS category_ids
+FROM (SELECT DISTINCT item_id FROM tv) t LEFT JOIN iid ON iid.item_id = t.item_id""")
+_add("item_multi_hot_filled", PROFILE + """
+SELECT t.item_id, CAST(coalesce(iid.n, 0) AS BIGINT) AS n_categories,
+       coalesce(iid.ids, '') AS category_ids
+FROM (SELECT DISTINCT item_id FROM tv) t LEFT JOIN iid ON iid.item_id = t.item_id""")
+_add("feature_rows", PROFILE + """
+SELECT t.user_id, t.item_id, t.stars, t.split,
+       u.review_count, u.average_stars, u.useful, u.funny, u.cool, u.fans,
+       i.stars AS item_stars, i.review_count AS item_review_count, i.is_open,
+       iid.n AS n_categories
+FROM tv t LEFT JOIN fx_users u ON u.user_id = t.user_id
+LEFT JOIN fx_items i ON i.item_id = t.item_id
+LEFT JOIN iid ON iid.item_id = t.item_id""")
+_add("first_occurrence", PROFILE + """
+SELECT user_id, item_id AS first_item_id, stars AS first_stars
+FROM (SELECT user_id, item_id, stars,
+             row_number() OVER (PARTITION BY user_id
+                                ORDER BY CASE split WHEN 'train' THEN 0 ELSE 1 END, item_id, stars) AS rn
+      FROM tv) x
+WHERE rn = 1""")
+_add("known_users", with_ctes(FX) + """
+SELECT user_id AS id, bool_or(split = 'train') AS in_train, bool_or(split = 'val') AS in_val
+FROM fx_ratings WHERE split IN ('train', 'val') GROUP BY user_id""")
+_add("known_items", with_ctes(FX) + """
+SELECT item_id AS id, bool_or(split = 'train') AS in_train, bool_or(split = 'val') AS in_val
+FROM fx_ratings WHERE split IN ('train', 'val') GROUP BY item_id""")
+_add("user_history", with_ctes(FX) + """
+SELECT user_id AS id, count(*) AS n, min(item_id) AS min_id, max(item_id) AS max_id,
+       CAST(sum(item_id) AS BIGINT) AS sum_id
+FROM (SELECT DISTINCT user_id, item_id FROM train) d GROUP BY user_id""")
+_add("item_raters", with_ctes(FX) + """
+SELECT item_id AS id, count(*) AS n, min(user_id) AS min_id, max(user_id) AS max_id,
+       CAST(sum(user_id) AS BIGINT) AS sum_id
+FROM (SELECT DISTINCT user_id, item_id FROM train) d GROUP BY item_id""")
+
+MODEL = """
+ku AS (SELECT DISTINCT user_id FROM tv),
+ki AS (SELECT DISTINCT item_id FROM tv),
+mr AS (
+  SELECT t.user_id, t.item_id, t.label,
+         CASE WHEN ku.user_id IS NOT NULL AND ki.item_id IS NOT NULL THEN 'both'
+              WHEN ku.user_id IS NOT NULL THEN 'user_only'
+              WHEN ki.item_id IS NOT NULL THEN 'item_only'
+              ELSE 'neither' END AS route
+  FROM tg t LEFT JOIN ku ON ku.user_id = t.user_id LEFT JOIN ki ON ki.item_id = t.item_id),
+tf AS (
+  SELECT m.user_id, m.item_id, m.label, m.route,
+         CASE WHEN m.route IN ('both', 'user_only') THEN u.review_count END AS review_count,
+         CASE WHEN m.route IN ('both', 'user_only') THEN u.average_stars END AS average_stars,
+         CASE WHEN m.route IN ('both', 'user_only') THEN u.useful END AS useful,
+         CASE WHEN m.route IN ('both', 'user_only') THEN u.funny END AS funny,
+         CASE WHEN m.route IN ('both', 'user_only') THEN u.cool END AS cool,
+         CASE WHEN m.route IN ('both', 'user_only') THEN u.fans END AS fans,
+         CASE WHEN m.route IN ('both', 'item_only') THEN i.stars END AS item_stars,
+         CASE WHEN m.route IN ('both', 'item_only') THEN i.review_count END AS item_review_count,
+         CASE WHEN m.route IN ('both', 'item_only') THEN i.is_open END AS is_open
+  FROM mr m LEFT JOIN fx_users u ON u.user_id = m.user_id
+  LEFT JOIN fx_items i ON i.item_id = m.item_id)
+"""
+
+_add("model_routes", with_ctes(FX, USERS, ITEMS, CATS, MODEL) + "SELECT route, count(*) AS n FROM mr GROUP BY route")
+_add("target_features", with_ctes(FX, USERS, ITEMS, CATS, MODEL) + """
+SELECT user_id, item_id, label, route, review_count, average_stars, useful, funny, cool, fans,
+       item_stars, item_review_count, is_open FROM tf""")
+_add("hybrid_blend", with_ctes(FX, USERS, ITEMS, CATS, MODEL, CF) + """
+, hb AS (
+  SELECT tf.user_id, tf.item_id, tf.route, c.pred_raw AS cf, c.n_neighbours,
+         CASE WHEN tf.route = 'both' THEN
+           CASE WHEN c.n_neighbours < 30 THEN CAST(0.05 AS DOUBLE) ELSE CAST(0.15 AS DOUBLE) END
+         END AS alpha,
+         (coalesce(tf.average_stars, CAST(3.75 AS DOUBLE))
+          + coalesce(tf.item_stars, CAST(3.75 AS DOUBLE))) / 2 AS model_all,
+         tf.average_stars, tf.item_stars
+  FROM tf LEFT JOIN cfp c ON c.user_id = tf.user_id AND c.item_id = tf.item_id)
+SELECT user_id, item_id, round(cf, 6) AS cf, n_neighbours, alpha,
+       round(CASE WHEN route = 'both' THEN model_all END, 6) AS model,
+       round(CASE WHEN route = 'both' THEN alpha * cf + (1 - alpha) * model_all
+                  WHEN route = 'user_only' THEN coalesce(average_stars, CAST(3.75 AS DOUBLE))
+                  WHEN route = 'item_only' THEN coalesce(item_stars, CAST(3.75 AS DOUBLE))
+                  ELSE CAST(3.75 AS DOUBLE) END, 6) AS prediction,
+       route
+FROM hb""")
