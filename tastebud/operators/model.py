@@ -92,6 +92,10 @@ class GBTParams:
     max_bins: int = 256
     min_instances: int = 1
     seed: int = 7
+    # node statistics budget per pass: 256 bins x 27 features at depth 7
+    # needs several passes per level under Spark's 256 MB default
+    max_memory_mb: int = 1024
+    cache_node_ids: bool = False
     extra: dict = field(default_factory=dict)
 
 
@@ -113,8 +117,8 @@ def gbt_pipeline(p: GBTParams, cols: list[str], label: str = "stars") -> Pipelin
                        maxIter=p.rounds, stepSize=p.step_size, maxDepth=p.max_depth,
                        subsamplingRate=p.subsample, featureSubsetStrategy=str(p.feature_subset),
                        maxBins=p.max_bins, minInstancesPerNode=p.min_instances,
-                       lossType="squared", seed=p.seed, cacheNodeIds=True,
-                       checkpointInterval=10, **p.extra)
+                       lossType="squared", seed=p.seed, cacheNodeIds=p.cache_node_ids,
+                       maxMemoryInMB=p.max_memory_mb, checkpointInterval=10, **p.extra)
     return Pipeline(stages=[imputer, asm, gbt])
 
 
@@ -138,3 +142,44 @@ def fit_gbt(train_rows: DataFrame, p: GBTParams, with_embedding: bool = True,
 def score(model: PipelineModel, rows: DataFrame, with_embedding: bool = True) -> DataFrame:
     cols = feature_columns(with_embedding)
     return model.transform(with_missing_flags(as_double(rows, cols)))
+
+
+# ---------------------------------------------------------------- end to end
+@dataclass
+class ModelRun:
+    """Fitted pieces and outputs of one model-based run (lazy DataFrames)."""
+    vocab_size: int
+    encoder: object
+    embedding: DataFrame
+    train_rows: DataFrame
+    model: PipelineModel
+    targets: DataFrame          # routed targets with features and model_score
+
+
+def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: DataFrame,
+              gbt: GBTParams = GBTParams(), embed=None) -> ModelRun:
+    """Embedding fit -> feature rows -> boosted trees -> routed target scores.
+
+    ``ratings``: (user_id, item_id, stars, split); the model trains on train ∪
+    val rows.  Small shared tables (item category ids, the embedding) are
+    written once to the checkpoint folder, cutting lineage before the
+    iterative fits.
+    """
+    from .. import session as SE
+    from . import embed as EM
+
+    embed = embed or EM.EmbedParams()
+    tv = ratings.where(F.col("split").isin("train", "val")).select("user_id", "item_id", "stars")
+    vocab = FE.category_vocab(items)
+    V = vocab.count()
+    ids = SE.materialize(FE.item_category_ids(items, vocab), "item_ids")
+    enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, embed)
+    emb = SE.materialize(EM.embed_items(tv, ids, enc), "embedding")
+    train_rows = FE.feature_rows(tv, users, items).join(emb, "item_id", "left")
+    model = fit_gbt(train_rows, gbt)
+    ku, ki = known_keys(tv)
+    tf = target_features(route_targets(targets, ku, ki), users, items, emb)
+    scored = score(model, tf)
+    out = scored.withColumn("prediction", one_sided(F.col("route"), F.col("model_score")))
+    keep = [c for c in tf.columns] + ["model_score", "prediction"]
+    return ModelRun(V, enc, emb, train_rows, model, out.select(*keep))

@@ -277,6 +277,73 @@ def hybrid_blend(spark, sf_dir):
     return HY.blend_scores(tf, cf.select("user_id", "item_id", F.col("prediction").alias("cf"), "n_neighbours"))
 
 
+# ---------------------------------------------------------------- model-based, hybrid
+# Boosting rounds of the catalog's model queries.  The library default is the
+# surveyed 383; Spark's level-wise learner costs about 0.7 s per depth-7 round
+# on sf0.1 with local[8], so the registered queries use fewer rounds.
+CATALOG_GBT = MO.GBTParams(rounds=50)
+
+
+def _model_run(spark, sf_dir, gbt=None):
+    from ..operators import embed as EM
+    r = FX.ratings(spark, sf_dir)
+    return MO.run_model(r, FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r), FX.targets(r),
+                        gbt or CATALOG_GBT, EM.EmbedParams(steps=30, lr=0.1))
+
+
+@query
+def category_embed(spark, sf_dir):
+    from ..operators import embed as EM
+    r = FX.ratings(spark, sf_dir)
+    items = FX.items(spark, sf_dir, r)
+    vocab = FE.category_vocab(items)
+    V = vocab.count()
+    ids = FE.item_category_ids(items, vocab)
+    tv = _tv(r)
+    enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, EM.EmbedParams(steps=30, lr=0.1))
+    return EM.embed_items(tv, ids, enc)
+
+
+@query
+def embedded_features(spark, sf_dir):
+    from ..operators import embed as EM
+    r = FX.ratings(spark, sf_dir)
+    users, items = FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r)
+    vocab = FE.category_vocab(items)
+    V = vocab.count()
+    ids = FE.item_category_ids(items, vocab)
+    tv = _tv(r).select("user_id", "item_id", "stars", "split")
+    enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, EM.EmbedParams(steps=30, lr=0.1))
+    return FE.feature_rows(tv, users, items).join(EM.embed_items(tv, ids, enc), "item_id", "left")
+
+
+@query
+def gbt_predict(spark, sf_dir):
+    t = _model_run(spark, sf_dir).targets
+    return t.select("user_id", "item_id", F.round("prediction", 6).alias("prediction"), "route")
+
+
+@query
+def gbt_rmse(spark, sf_dir):
+    return EV.rmse(_model_run(spark, sf_dir).targets, "prediction", "label")
+
+
+@query
+def gbt_error_histogram(spark, sf_dir):
+    return EV.error_histogram(_model_run(spark, sf_dir).targets, "prediction", "label")
+
+
+@query
+def hybrid_predict(spark, sf_dir):
+    r = FX.ratings(spark, sf_dir)
+    run = _model_run(spark, sf_dir)
+    cf = CF.predict(CF.cf_parts(FX.split_ratings(r, "train"), FX.targets(r)), decimals=None)
+    tf = run.targets.withColumn("model", F.col("model_score"))
+    out = HY.blend_scores(tf, cf.select("user_id", "item_id", F.col("prediction").alias("cf"),
+                                        "n_neighbours"))
+    return out.select("user_id", "item_id", "prediction", "alpha", "route")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
