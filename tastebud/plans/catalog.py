@@ -344,6 +344,29 @@ def hybrid_predict(spark, sf_dir):
     return out.select("user_id", "item_id", "prediction", "alpha", "route")
 
 
+# Search budget of the catalog's tuning query: the surveyed space with the
+# round range scaled down and 4 trials (the library default space is unchanged).
+CATALOG_SEARCH_ROUNDS = (10, 40)
+CATALOG_TRIALS = 4
+
+
+@query
+def gbt_tune(spark, sf_dir):
+    from ..operators import embed as EM
+    from ..operators import tune as TU
+    r = FX.ratings(spark, sf_dir)
+    users, items = FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r)
+    vocab = FE.category_vocab(items)
+    V = vocab.count()
+    ids = FE.item_category_ids(items, vocab)
+    tv = _tv(r).select("user_id", "item_id", "stars", "split")
+    enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, EM.EmbedParams(steps=30, lr=0.1))
+    rows = FE.feature_rows(tv, users, items).join(EM.embed_items(tv, ids, enc), "item_id", "left")
+    trials = TU.sample_trials(TU.SearchSpace(rounds=CATALOG_SEARCH_ROUNDS), CATALOG_TRIALS, seed=3)
+    return TU.tune(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"),
+                   trials, parallelism=2)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
