@@ -30,8 +30,9 @@ def write_predictions(pred: DataFrame, path: str, order_col: str | None = None)
     """
     df = pred.orderBy(order_col) if order_col else pred
     lines = prediction_lines(df).withColumnRenamed("line", PREDICTION_HEADER)
-    (lines.write.mode("overwrite").option("header", True).option("quote", "")
-     .option("escape", "").csv(path))
+    # one text column; a tab separator means the commas inside a line never
+    # trigger CSV quoting
+    lines.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
