@@ -183,3 +183,28 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
     out = scored.withColumn("prediction", one_sided(F.col("route"), F.col("model_score")))
     keep = [c for c in tf.columns] + ["model_score", "prediction"]
     return ModelRun(V, enc, emb, train_rows, model, out.select(*keep))
+
+
+def fit_gbt_early_stopping(train_rows: DataFrame, val_rows: DataFrame, p: GBTParams,
+                           patience: int = 100, with_embedding: bool = True,
+                           label: str = "stars") -> tuple[PipelineModel, int, list]:
+    """Best-round mode: fit ``p.rounds``, score every round on val, refit at the best.
+
+    Spark's ``validationTol`` stops at the first small improvement; this keeps
+    the surveyed patience semantics instead.  With the same seed the refit's
+    trees are a prefix of the first fit's.  Returns (model, best_round, errors).
+    """
+    from dataclasses import replace
+
+    from .tune import best_round
+
+    full = fit_gbt(train_rows, p, with_embedding, label)
+    gbt_model = full.stages[-1]
+    pre = PipelineModel(stages=full.stages[:-1])
+    cols = feature_columns(with_embedding)
+    val = pre.transform(with_missing_flags(as_double(val_rows, cols)))
+    errors = list(gbt_model.evaluateEachIteration(val, "squared"))
+    b = best_round(errors, patience)
+    if b == p.rounds:
+        return full, b, errors
+    return fit_gbt(train_rows, replace(p, rounds=b), with_embedding, label), b, errors

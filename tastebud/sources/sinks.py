@@ -46,3 +46,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def write_features_csv(df: DataFrame, path: str, header: bool = False) -> None:
     """Headerless CSV of a feature table (the surveyed interchange format)."""
     df.write.mode("overwrite").option("header", header).csv(path)
+
+
+def save_model(model, path: str) -> None:
+    """Fitted Spark ML pipeline (imputer, assembler, trees) via the ML writer."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str):
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)

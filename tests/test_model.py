@@ -84,3 +84,40 @@ def test_hybrid_between_scores_and_routes(spark):
     assert got["u1"].alpha == RT.ALPHA_FEW and got["u1"].prediction == pytest.approx(0.05 * 5 + 0.95 * 2)
     assert got["u5"].alpha == RT.ALPHA_FULL and got["u5"].prediction == pytest.approx(0.15 * 1 + 0.85 * 4)
     assert got["u2"].prediction == 3.5 and got["u3"].prediction == 4.5 and got["u4"].prediction == 3.75
+
+
+def test_encoder_and_model_round_trip(spark, fixture, tmpdir_fresh):
+    import os
+
+    from tastebud.sources import sinks
+    r, users, items, V, ids, tv = fixture
+    enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, EM.EmbedParams(steps=3))
+    EM.save_encoder(spark, enc, os.path.join(tmpdir_fresh, "enc"))
+    back = EM.load_encoder(spark, os.path.join(tmpdir_fresh, "enc"))
+    assert np.array_equal(back.W, enc.W) and np.array_equal(back.U, enc.U)
+    assert np.array_equal(back.b, enc.b) and np.array_equal(back.c, enc.c)
+    rows = FE.feature_rows(tv.select("user_id", "item_id", "stars"), users, items)
+    m = MO.fit_gbt(rows, MO.GBTParams(rounds=2, max_depth=3), with_embedding=False)
+    sinks.save_model(m, os.path.join(tmpdir_fresh, "gbt"))
+    m2 = sinks.load_model(os.path.join(tmpdir_fresh, "gbt"))
+    a = MO.score(m, rows, False).agg(F.sum("model_score")).first()[0]
+    b = MO.score(m2, rows, False).agg(F.sum("model_score")).first()[0]
+    assert a == pytest.approx(b)
+
+
+def test_early_stopping_refit(spark, fixture):
+    r, users, items, V, ids, tv = fixture
+    rows = FE.feature_rows(tv.select("user_id", "item_id", "stars", "split"), users, items)
+    m, b, errs = MO.fit_gbt_early_stopping(rows.where("split = 'train'"), rows.where("split = 'val'"),
+                                           MO.GBTParams(rounds=6, max_depth=3), patience=2,
+                                           with_embedding=False)
+    assert len(errs) == 6 and 1 <= b <= 6
+    assert b == TU.best_round(errs, 2)
+    assert m.stages[-1].getNumTrees == b
+
+
+def test_pca_embedding(spark, fixture):
+    r, users, items, V, ids, tv = fixture
+    e = EM.embed_pca(tv, ids, V, k=4)
+    assert e.columns == ["item_id", "e0", "e1", "e2", "e3"]
+    assert e.count() == tv.select("item_id").distinct().count()
