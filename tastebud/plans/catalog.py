@@ -146,7 +146,8 @@ def weighted_neighbours(spark, sf_dir):
 
 @query
 def topn_neighbours(spark, sf_dir):
-    return _cf(spark, sf_dir).top.select("user_id", "item_id", "rank", "neighbour_id")
+    return _cf(spark, sf_dir).top.select("user_id", "item_id", F.col("rank").cast("bigint").alias("rank"),
+                                         "neighbour_id")
 
 
 @query

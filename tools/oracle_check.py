@@ -51,6 +51,17 @@ def rows_of(columns, rows):
     return sorted(columns), out
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diff(df, rel):
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in df.schema.fields}
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (s[c], d.get(c)) for c in s if s[c] != d.get(c)}
+
+
 def compare(spark, con, sf_dir, key, fn, sql):
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -63,14 +74,16 @@ def compare(spark, con, sf_dir, key, fn, sql):
     sc, sr = rows_of(df.columns, s_rows)
     dc, dr = rows_of(d_cols, d_rows)
     ok = sc == dc and sr == dr
-    msg = ""
+    td = type_diff(df, rel)
+    msg = f"types {td} " if td else ""
+    ok = ok and not td
     if sc != dc:
-        msg = f"columns {sc} vs {dc}"
+        msg += f"columns {sc} vs {dc}"
     elif len(sr) != len(dr):
-        msg = f"rows {len(sr)} vs {len(dr)}"
+        msg += f"rows {len(sr)} vs {len(dr)}"
     elif sr != dr:
         diff = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
-        msg = f"values differ, e.g. {diff}"
+        msg += f"values differ, e.g. {diff}"
     return ok, len(sr), t1 - t0, t2 - t1, msg
 
 
