@@ -132,10 +132,17 @@ def as_double(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: tree training parallelism is the
+    input's partition count, and a small input can arrive as one file."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def fit_gbt(train_rows: DataFrame, p: GBTParams, with_embedding: bool = True,
             label: str = "stars") -> PipelineModel:
     cols = feature_columns(with_embedding)
-    data = with_missing_flags(as_double(train_rows, cols))
+    data = spread(with_missing_flags(as_double(train_rows, cols)))
     return gbt_pipeline(p, cols, label).fit(data)
 
 
@@ -170,6 +177,11 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
 
     embed = embed or EM.EmbedParams()
     tv = ratings.where(F.col("split").isin("train", "val")).select("user_id", "item_id", "stars")
+    # each is read by five or more later steps (embedding sets, feature rows,
+    # imputer and tree passes, routes): write them once
+    tv = SE.materialize(tv, "model_rows")
+    users = SE.materialize(users, "model_users")
+    items = SE.materialize(items, "model_items")
     vocab = FE.category_vocab(items)
     V = vocab.count()
     ids = SE.materialize(FE.item_category_ids(items, vocab), "item_ids")
