@@ -107,4 +107,6 @@ def pair_weights(stats: DataFrame, kept_only: bool = True) -> DataFrame:
 def weighted_neighbours(cands: DataFrame, weights: DataFrame) -> DataFrame:
     """Candidates joined to the kept pair weights (J7)."""
     w = weights.select("item_i", "item_j", "n_co", "raw_w", "weight")
-    return with_pair_key(cands).join(w.hint("shuffle_hash"), ["item_i", "item_j"])
+    # a sort-merge join (the planner's choice): it spills, where a shuffled
+    # hash join must hold a partition's pair weights in memory
+    return with_pair_key(cands).join(w, ["item_i", "item_j"])
