@@ -51,20 +51,26 @@ def item_mean(dedup_train: DataFrame) -> DataFrame:
             .agg(F.avg("stars").alias("mean_stars"), F.count(F.lit(1)).alias("n")))
 
 
+CHECKSUM_MOD = 1000003
+
+
 def history(r: DataFrame, key: str, other: str) -> DataFrame:
     """Per ``key``: the set of distinct ``other`` ids, summarised.
 
     A set can be as large as the table (one user may hold a third of all
     rows), so it is never collected into one row; the set stays the rating
     table itself for the joins, and this report gives its size and an
-    order-free fingerprint (min, max and sum of the ids), all partial
+    order-free fingerprint (min, max and a modular checksum of the ids), all partial
     aggregates.
     """
     d = r.select(key, other).distinct()
     o = F.col(other)
+    # checksum terms are below 10^6, so the bigint sum cannot overflow for any
+    # group under 9 * 10^12 ids
+    term = F.pmod(o.cast("bigint"), F.lit(CHECKSUM_MOD))
     return (d.groupBy(F.col(key).alias("id"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(o).alias("min_id"),
-                 F.max(o).alias("max_id"), F.sum(o).cast("bigint").alias("sum_id")))
+                 F.max(o).alias("max_id"), F.sum(term).cast("bigint").alias("id_checksum")))
 
 
 def known_keys(r: DataFrame, key: str) -> DataFrame:

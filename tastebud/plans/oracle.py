@@ -244,11 +244,11 @@ SELECT item_id AS id, bool_or(split = 'train') AS in_train, bool_or(split = 'val
 FROM fx_ratings WHERE split IN ('train', 'val') GROUP BY item_id""")
 _add("user_history", with_ctes(FX) + """
 SELECT user_id AS id, count(*) AS n, min(item_id) AS min_id, max(item_id) AS max_id,
-       CAST(sum(item_id) AS BIGINT) AS sum_id
+       CAST(sum(((item_id % 1000003) + 1000003) % 1000003) AS BIGINT) AS id_checksum
 FROM (SELECT DISTINCT user_id, item_id FROM train) d GROUP BY user_id""")
 _add("item_raters", with_ctes(FX) + """
 SELECT item_id AS id, count(*) AS n, min(user_id) AS min_id, max(user_id) AS max_id,
-       CAST(sum(user_id) AS BIGINT) AS sum_id
+       CAST(sum(((user_id % 1000003) + 1000003) % 1000003) AS BIGINT) AS id_checksum
 FROM (SELECT DISTINCT user_id, item_id FROM train) d GROUP BY item_id""")
 
 MODEL = """
