@@ -4,8 +4,8 @@
     python -m tastebud.jobs model  FOLDER TARGETS_CSV OUT_DIR [--rounds 383]
     python -m tastebud.jobs hybrid FOLDER TARGETS_CSV OUT_DIR [--rounds 383]
 
-FOLDER holds ``yelp_train.csv``, ``yelp_val.csv``, ``business.json`` and
-``user.json`` (names configurable).  Output is a folder with the prediction
+FOLDER holds ``train.csv``, ``val.csv``, ``items.json`` and
+``users.json`` (names configurable).  Output is a folder with the prediction
 CSV (header ``user_id, business_id, prediction``) in target-file order: the
 order is an id taken at read time (increasing with file position), used only
 by the final range-partitioned sort.
@@ -50,8 +50,8 @@ def _model_inputs(spark, folder, train_name, val_name, items_name, users_name):
 
 
 def model_job(spark, folder, targets_csv, out, rounds=383, hybrid=False,
-              train_name="yelp_train.csv", val_name="yelp_val.csv",
-              items_name="business.json", users_name="user.json") -> DataFrame:
+              train_name="train.csv", val_name="val.csv",
+              items_name="items.json", users_name="users.json") -> DataFrame:
     ratings, users, items = _model_inputs(spark, folder, train_name, val_name, items_name, users_name)
     t = _targets(spark, targets_csv)
     pairs = t.select("user_id", "item_id").distinct()

@@ -20,15 +20,15 @@ def _lines(out):
 
 
 def _folder(d):
-    _w(os.path.join(d, "yelp_train.csv"), "user_id,business_id,stars\n" + "".join(
+    _w(os.path.join(d, "train.csv"), "user_id,business_id,stars\n" + "".join(
         f"u{u},b{b},{(u * 7 + b * 3) % 5 + 1}.0\n" for u in range(12) for b in range(10) if (u + b) % 3))
-    _w(os.path.join(d, "yelp_val.csv"), "user_id,business_id,stars\n" + "".join(
+    _w(os.path.join(d, "val.csv"), "user_id,business_id,stars\n" + "".join(
         f"u{u},b{b},{(u + b) % 5 + 1}.0\n" for u in range(12) for b in range(10) if (u + b) % 3 == 0 and u % 2))
-    _w(os.path.join(d, "business.json"), "".join(json.dumps(
+    _w(os.path.join(d, "items.json"), "".join(json.dumps(
         {"business_id": f"b{b}", "stars": 3.0 + b % 3 * 0.5, "review_count": b + 1, "is_open": b % 2,
          "categories": None if b == 4 else ", ".join(["Food", "Bars", "Cafe"][: 1 + b % 3])}) + "\n"
         for b in range(10)))
-    _w(os.path.join(d, "user.json"), "".join(json.dumps(
+    _w(os.path.join(d, "users.json"), "".join(json.dumps(
         {"user_id": f"u{u}", "review_count": u, "average_stars": 2.5 + u % 4 * 0.5, "useful": u,
          "funny": 0, "cool": 1, "fans": u % 2}) + "\n" for u in range(11)))
     _w(os.path.join(d, "test.csv"), "user_id,business_id,stars\nu3,b5,1\nzz,b1,2\nu1,b0,3\nu2,qq,4\nzz,qq,5\n")
@@ -37,7 +37,7 @@ def _folder(d):
 def test_cf_job_keeps_target_order(spark, tmpdir_fresh):
     _folder(tmpdir_fresh)
     out = os.path.join(tmpdir_fresh, "cf_out")
-    jobs.cf_job(spark, os.path.join(tmpdir_fresh, "yelp_train.csv"),
+    jobs.cf_job(spark, os.path.join(tmpdir_fresh, "train.csv"),
                 os.path.join(tmpdir_fresh, "test.csv"), out)
     lines = _lines(out)
     assert lines[0] == "user_id, business_id, prediction"
