@@ -35,7 +35,13 @@ def main() -> None:
         f"local[{cpus}]", app="tastebud-bench", shuffle_partitions=max(8, 4 * n_cpu),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024),
-               "spark.ui.showConsoleProgress": "false"})
+               "spark.ui.showConsoleProgress": "false",
+               # local[N] has few cores: smaller AQE targets give more, evener tasks
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get(
+                   "BENCH_ADVISORY_BYTES", str(16 * 1024 * 1024)),
+               # more, smaller files for the tables written mid-plan on few cores
+               "tastebud.materialize.maxRecordsPerFile": os.environ.get(
+                   "BENCH_MAX_RECORDS_PER_FILE", "100000")})
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
 

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import routes as RT
 from ..operators import cf as CF
 from ..operators import evaluate as EV
 from ..operators import features as FE
@@ -371,5 +370,3 @@ def gbt_tune(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
-
-_ = RT  # routes are used through the operators

@@ -64,6 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "so lineage cuts survive executor loss")
 
 
+MAX_RECORDS_KEY = "tastebud.materialize.maxRecordsPerFile"
+DEFAULT_MAX_RECORDS = 1_000_000
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -77,5 +81,8 @@ def materialize(df, name: str):
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    # bounded file size so readers get enough, even splits (a file with one
+    # row group is one read task); no extra shuffle is added for this
+    per_file = spark.conf.get(MAX_RECORDS_KEY, str(DEFAULT_MAX_RECORDS))
+    df.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
     return spark.read.parquet(path)
