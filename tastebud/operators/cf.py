@@ -68,25 +68,41 @@ def weighted_mean(top: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("n_neighbours")))
 
 
-def cf_parts(train: DataFrame, targets: DataFrame, n: int = S.TOP_N,
-             exclude_self: bool = False, dedup_how: str = "max",
-             materialize: bool = True) -> CFParts:
-    """Build every stage of the CF plan.
+@dataclass
+class CFTrain:
+    """Train-side tables of CF, independent of the targets (prepare once)."""
+    dedup: DataFrame          # user_id, item_id, stars, s_raw, n_raw
+    user_mean: DataFrame
+    item_stats: DataFrame
+
 
-    ``train``: (user_id, item_id, stars) raw rows; ``targets``: (user_id,
-    item_id, ...) distinct pairs.  ``exclude_self`` drops b0 = b from the
-    candidates (off by default, as in the surveyed behaviour).
+def prepare(train: DataFrame, dedup_how: str = "max", materialize: bool = True) -> CFTrain:
+    """Deduplicated ratings (max, raw sum, raw count per pair), user means over
+    raw rows and item means / rater counts.
 
-    With ``materialize`` the deduplicated ratings and the routed targets are
-    written once to the shared checkpoint folder: they feed four and two
-    consumers whose pruned sub-plans differ, so Spark could not reuse their
-    shuffles, and the lineage of the long plan is cut there.
+    With ``materialize`` the deduplicated table is written once to the shared
+    checkpoint folder: it feeds four consumers whose pruned sub-plans differ,
+    so Spark could not reuse their shuffles, and the lineage is cut there.
     """
     r = RA.dedup_with_raw(train, dedup_how)
     if materialize:
         r = SE.materialize(r, "cf_dedup")
-    um = RA.user_mean_from_dedup(r)
-    ist = RA.item_mean(r)
+    return CFTrain(r, RA.user_mean_from_dedup(r), RA.item_mean(r))
+
+
+def cf_parts(train: DataFrame | None, targets: DataFrame, n: int = S.TOP_N,
+             exclude_self: bool = False, dedup_how: str = "max",
+             materialize: bool = True, prepared: CFTrain | None = None) -> CFParts:
+    """Build every stage of the CF plan.
+
+    ``train``: (user_id, item_id, stars) raw rows (or ``prepared`` tables from
+    :func:`prepare`); ``targets``: (user_id, item_id, ...) distinct pairs.
+    ``exclude_self`` drops b0 = b from the candidates (off by default, as in
+    the surveyed behaviour).  With ``materialize`` the routed targets and the
+    annotated pair table are also written once (two consumers each).
+    """
+    tr = prepared or prepare(train, dedup_how, materialize)
+    r, um, ist = tr.dedup, tr.user_mean, tr.item_stats
     routed = route_targets(targets, um, ist)
     if materialize:
         routed = SE.materialize(routed, "cf_routed")
@@ -121,6 +137,7 @@ def predict(parts: CFParts, decimals: int | None = 6) -> DataFrame:
                     "route", *extra)
 
 
-def cf_predict(train: DataFrame, targets: DataFrame, n: int = S.TOP_N,
-               exclude_self: bool = False, decimals: int | None = 6) -> DataFrame:
-    return predict(cf_parts(train, targets, n, exclude_self), decimals)
+def cf_predict(train: DataFrame | None, targets: DataFrame, n: int = S.TOP_N,
+               exclude_self: bool = False, decimals: int | None = 6,
+               prepared: CFTrain | None = None) -> DataFrame:
+    return predict(cf_parts(train, targets, n, exclude_self, prepared=prepared), decimals)

@@ -2,7 +2,8 @@
 
 Targets land as CSV files in a folder; a file-source stream picks them up and
 ``foreachBatch`` runs the same CF plan as the batch path on each micro-batch
-against a fixed training table.  Output goes to one folder per batch id,
+against a fixed training table, whose deduplicated form and means are
+prepared once before the stream starts.  Output goes to one folder per batch id,
 written with overwrite, so a replayed batch (after a failure) replaces its own
 output instead of duplicating it.  Progress lives in ``checkpoint``, which
 must be on shared storage on a cluster.
@@ -29,9 +30,11 @@ def score_targets(spark: SparkSession, train: DataFrame, target_folder: str, out
     ``train`` is (user_id, item_id, stars) with the same id types as the
     target files (strings for CSV input).
     """
+    prepared = CF.prepare(train)          # train-side tables once, not per batch
+
     def batch(df: DataFrame, epoch_id: int) -> None:
         targets = df.dropDuplicates(["user_id", "item_id"])
-        pred = CF.cf_predict(train, targets, n)
+        pred = CF.cf_predict(None, targets, n, prepared=prepared)
         pred.write.mode("overwrite").parquet(f"{out_folder.rstrip('/')}/batch={epoch_id}")
 
     w = target_stream(spark, target_folder).writeStream.foreachBatch(batch)

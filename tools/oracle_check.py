@@ -36,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("~nan",)
-        return ("f", round(v, 9))
+        return ("f", v if os.environ.get("ORACLE_EXACT") else round(v, 9))
     if isinstance(v, bool):
         return ("b", int(v))
     if isinstance(v, int):
