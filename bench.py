@@ -48,7 +48,7 @@ def main() -> None:
     qs = catalog.queries()
     # untimed JVM/JIT warm-up on the smallest tables (BENCH_WARMUP="" disables)
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
-    for name in [q for q in os.environ.get("BENCH_WARMUP", "cf_predict").split(",") if q]:
+    for name in [q for q in os.environ.get("BENCH_WARMUP", "cf_predict,gbt_predict").split(",") if q]:
         if name in qs and os.path.isdir(warm_dir):
             qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
