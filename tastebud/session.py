@@ -86,3 +86,30 @@ def materialize(df, name: str):
     per_file = spark.conf.get(MAX_RECORDS_KEY, str(DEFAULT_MAX_RECORDS))
     df.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the Python workers (once per context).
+
+    Code that runs in Python workers (``mapInPandas``) pickles module
+    functions by reference, so the workers must import ``tastebud``.  With
+    ``spark-submit --py-files`` it already is; otherwise the sources are
+    zipped on the driver and added with ``SparkContext.addPyFile``, which
+    Spark distributes to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tastebud_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="tastebud-pkg-"), "tastebud.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.relpath(p, root))
+    sc.addPyFile(out)
+    sc._tastebud_shipped = True
