@@ -51,12 +51,13 @@ def _model_inputs(spark, folder, train_name, val_name, items_name, users_name):
 
 def model_job(spark, folder, targets_csv, out, rounds=383, hybrid=False,
               train_name="train.csv", val_name="val.csv",
-              items_name="items.json", users_name="users.json") -> DataFrame:
+              items_name="items.json", users_name="users.json",
+              embed_steps: int = 30, embed_lr: float = 0.1) -> DataFrame:
     ratings, users, items = _model_inputs(spark, folder, train_name, val_name, items_name, users_name)
     t = _targets(spark, targets_csv)
     pairs = t.select("user_id", "item_id").distinct()
     run = MO.run_model(ratings, users, items, pairs, MO.GBTParams(rounds=rounds),
-                       EM.EmbedParams(steps=30, lr=0.1))
+                       EM.EmbedParams(steps=embed_steps, lr=embed_lr))
     scored = run.targets
     if hybrid:
         train = ratings.where(F.col("split") == "train").select("user_id", "item_id", "stars")
@@ -78,12 +79,15 @@ def main(argv=None) -> None:
     ap.add_argument("out")
     ap.add_argument("--n", type=int, default=30)
     ap.add_argument("--rounds", type=int, default=383)
+    ap.add_argument("--embed-steps", type=int, default=30)
+    ap.add_argument("--embed-lr", type=float, default=0.1)
     a = ap.parse_args(argv)
     spark = SE.build_session(app=f"tastebud-{a.kind}")
     if a.kind == "cf":
         cf_job(spark, a.inputs, a.targets, a.out, a.n)
     else:
-        model_job(spark, a.inputs, a.targets, a.out, a.rounds, hybrid=a.kind == "hybrid")
+        model_job(spark, a.inputs, a.targets, a.out, a.rounds, hybrid=a.kind == "hybrid",
+                  embed_steps=a.embed_steps, embed_lr=a.embed_lr)
     spark.stop()
 
 

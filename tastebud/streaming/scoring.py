@@ -18,13 +18,14 @@ from ..operators import cf as CF
 from ..sources import schemas
 
 
-def target_stream(spark: SparkSession, folder: str) -> DataFrame:
+def target_stream(spark: SparkSession, folder: str, max_files: int = 64) -> DataFrame:
     return (spark.readStream.schema(schemas.TARGET).option("header", True)
-            .option("maxFilesPerTrigger", 64).csv(folder))
+            .option("maxFilesPerTrigger", max_files).csv(folder))
 
 
 def score_targets(spark: SparkSession, train: DataFrame, target_folder: str, out_folder: str,
-                  checkpoint: str, n: int = S.TOP_N, available_now: bool = True):
+                  checkpoint: str, n: int = S.TOP_N, available_now: bool = True,
+                  max_files: int = 64):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``train`` is (user_id, item_id, stars) with the same id types as the
@@ -37,7 +38,7 @@ def score_targets(spark: SparkSession, train: DataFrame, target_folder: str, out
         pred = CF.cf_predict(None, targets, n, prepared=prepared)
         pred.write.mode("overwrite").parquet(f"{out_folder.rstrip('/')}/batch={epoch_id}")
 
-    w = target_stream(spark, target_folder).writeStream.foreachBatch(batch)
+    w = target_stream(spark, target_folder, max_files).writeStream.foreachBatch(batch)
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

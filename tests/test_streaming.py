@@ -21,3 +21,21 @@ def test_stream_scores_like_batch(spark, tmpdir_fresh):
     tg = spark.createDataFrame([("u1", "c"), ("u3", "a"), ("zz", "a")], "user_id string, item_id string")
     exp = {(r.user_id, r.item_id): r.prediction for r in CF.cf_predict(train, tg).collect()}
     assert got == exp
+
+
+def test_one_output_folder_per_batch(spark, tmpdir_fresh):
+    train = spark.createDataFrame(
+        [("u1", "a", 4.0), ("u1", "b", 2.0), ("u2", "a", 5.0), ("u2", "b", 4.0)],
+        "user_id string, item_id string, stars double")
+    tdir = os.path.join(tmpdir_fresh, "targets")
+    os.makedirs(tdir)
+    for k, body in enumerate(["u1,b\n", "u2,a\nzz,a\n"]):
+        with open(os.path.join(tdir, f"t{k}.csv"), "w") as f:
+            f.write("user_id,business_id\n" + body)
+    out = os.path.join(tmpdir_fresh, "out")
+    q = scoring.score_targets(spark, train, tdir, out, os.path.join(tmpdir_fresh, "ck"), max_files=1)
+    q.awaitTermination(120)
+    batches = sorted(d for d in os.listdir(out) if d.startswith("batch="))
+    assert len(batches) == 2
+    got = spark.read.parquet(out)
+    assert got.count() == 3 and set(got.columns) >= {"user_id", "item_id", "prediction", "batch"}
