@@ -102,6 +102,10 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_tastebud_shipped", False):
         return
+    submitted = sc.getConf().get("spark.submit.pyFiles", "") or ""
+    if any("tastebud" in os.path.basename(f) for f in submitted.split(",") if f):
+        sc._tastebud_shipped = True       # already distributed by spark-submit
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
     out = os.path.join(tempfile.mkdtemp(prefix="tastebud-pkg-"), "tastebud.zip")
