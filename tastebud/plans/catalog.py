@@ -304,6 +304,16 @@ def category_embed(spark, sf_dir):
     return EM.embed_items(tv, ids, enc)
 
 
+@query
+def category_embed_pca(spark, sf_dir):
+    """The PCA option of the category embedding (16 components)."""
+    from ..operators import embed as EM
+    r = FX.ratings(spark, sf_dir)
+    items = FX.items(spark, sf_dir, r)
+    vocab = FE.category_vocab(items)
+    return EM.embed_pca(_tv(r), FE.item_category_ids(items, vocab), vocab.count())
+
+
 @query
 def embedded_features(spark, sf_dir):
     from ..operators import embed as EM
