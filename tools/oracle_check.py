@@ -2,8 +2,8 @@
 
 Usage: python tools/oracle_check.py [sf_dir] [key ...]
 
-Comparison: row count, column-name set, and the sorted multiset of rows with
-columns in name order (the same shape of check the verification driver does).
+Comparison: row count, column names and types, and the sorted multiset of rows with
+columns in name order, doubles compared exactly (ORACLE_ROUND=1 rounds to 9 places).
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("~nan",)
-        return ("f", v if os.environ.get("ORACLE_EXACT") else round(v, 9))
+        return ("f", round(v, 9) if os.environ.get("ORACLE_ROUND") else v)
     if isinstance(v, bool):
         return ("b", int(v))
     if isinstance(v, int):
