@@ -188,7 +188,10 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
     ids = SE.materialize(FE.item_category_ids(items, vocab), "item_ids")
     enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, embed)
     emb = SE.materialize(EM.embed_items(tv, ids, enc), "embedding")
-    train_rows = FE.feature_rows(tv, users, items).join(emb, "item_id", "left")
+    # read by the imputer pass and the tree fit: written once, spread over
+    # the cores, lineage cut before the long iterative fit
+    train_rows = SE.materialize(spread(FE.feature_rows(tv, users, items).join(emb, "item_id", "left")),
+                                "model_train_rows")
     model = fit_gbt(train_rows, gbt)
     ku, ki = known_keys(tv)
     tf = target_features(route_targets(targets, ku, ki), users, items, emb)
