@@ -33,3 +33,19 @@ def test_cf_figures(spark, sf):
         assert (got.get((b, True), 0), got.get((b, False), 0)) == (kept, dropped)
     assert p.top.where(F.col("item_id") == F.col("neighbour_id")).count() == n_self
     assert pred.where(F.col("n_neighbours") == 30).count() == n_full
+
+
+ROUTES = {
+    # neither / item only / user only / both
+    "sf0.001": {"cf": (4, 196, 169, 1084), "model": (3, 166, 119, 1165)},
+    "sf0.01": {"cf": (103, 2108, 1840, 10942), "model": (41, 1556, 1434, 11962)},
+}
+
+
+@pytest.mark.parametrize("sf", sorted(ROUTES))
+def test_route_figures(spark, sf):
+    from tastebud.plans import catalog
+    d = f"/root/testdata/{sf}"
+    for kind in ("cf", "model"):
+        got = {x.route: x.n for x in catalog.QUERIES[f"{kind}_routes"](spark, d).collect()}
+        assert tuple(got.get(k, 0) for k in ("neither", "item_only", "user_only", "both")) == ROUTES[sf][kind]
