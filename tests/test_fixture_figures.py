@@ -49,3 +49,25 @@ def test_route_figures(spark, sf):
     for kind in ("cf", "model"):
         got = {x.route: x.n for x in catalog.QUERIES[f"{kind}_routes"](spark, d).collect()}
         assert tuple(got.get(k, 0) for k in ("neither", "item_only", "user_only", "both")) == ROUTES[sf][kind]
+
+
+PROFILES = {
+    # null / empty categories; train+val rows: no user profile only, no item profile only, neither
+    "sf0.001": ((11, 10), (175, 97, 6)),
+    "sf0.01": ((115, 97), (1592, 1029, 44)),
+}
+
+
+@pytest.mark.parametrize("sf", sorted(PROFILES))
+def test_profile_figures(spark, sf):
+    from tastebud.plans import catalog
+    d = f"/root/testdata/{sf}"
+    cats, rows = PROFILES[sf]
+    items = catalog.QUERIES["item_profiles"](spark, d)
+    assert (items.where(F.col("categories").isNull()).count(),
+            items.where(F.col("categories") == "").count()) == cats
+    fr = catalog.QUERIES["feature_rows"](spark, d)
+    nu, ni = F.col("average_stars").isNull(), F.col("item_stars").isNull()
+    got = fr.agg(F.count(F.when(nu & ~ni, 1)).alias("u"), F.count(F.when(ni & ~nu, 1)).alias("i"),
+                 F.count(F.when(nu & ni, 1)).alias("b")).first()
+    assert (got.u, got.i, got.b) == rows
