@@ -38,6 +38,7 @@ class CFParts:
     neighbours: DataFrame
     top: DataFrame
     scores: DataFrame
+    evaluated: DataFrame | None = None   # pairs scored in this run, kept or not
 
 
 def route_targets(targets: DataFrame, user_mean: DataFrame, item_stats: DataFrame) -> DataFrame:
@@ -90,9 +91,13 @@ def prepare(train: DataFrame, dedup_how: str = "max", materialize: bool = True)
     return CFTrain(r, RA.user_mean_from_dedup(r), RA.item_mean(r))
 
 
+WEIGHT_COLS = ["item_i", "item_j", "n_co", "raw_w", "keep", "weight"]
+
+
 def cf_parts(train: DataFrame | None, targets: DataFrame, n: int = S.TOP_N,
              exclude_self: bool = False, dedup_how: str = "max",
-             materialize: bool = True, prepared: CFTrain | None = None) -> CFParts:
+             materialize: bool = True, prepared: CFTrain | None = None,
+             known_weights: DataFrame | None = None) -> CFParts:
     """Build every stage of the CF plan.
 
     ``train``: (user_id, item_id, stars) raw rows (or ``prepared`` tables from
@@ -100,6 +105,11 @@ def cf_parts(train: DataFrame | None, targets: DataFrame, n: int = S.TOP_N,
     ``exclude_self`` drops b0 = b from the candidates (off by default, as in
     the surveyed behaviour).  With ``materialize`` the routed targets and the
     annotated pair table are also written once (two consumers each).
+
+    ``known_weights`` (``WEIGHT_COLS``, kept and dropped pairs, computed from
+    the same train table) is a memo of earlier runs: only candidate pairs
+    missing from it are scored (anti join), and ``evaluated`` returns the newly
+    scored ones so a caller can extend the memo.
     """
     tr = prepared or prepare(train, dedup_how, materialize)
     r, um, ist = tr.dedup, tr.user_mean, tr.item_stats
@@ -111,13 +121,20 @@ def cf_parts(train: DataFrame | None, targets: DataFrame, n: int = S.TOP_N,
     if exclude_self:
         cands = cands.where(F.col("item_id") != F.col("neighbour_id"))
     pairs = SIM.candidate_pairs(cands)
-    stats = SIM.pair_statistics(pairs, r, ist, materialize=materialize)
-    weights = SIM.pair_weights(stats)
+    todo = pairs
+    if known_weights is not None:
+        todo = pairs.join(known_weights.select("item_i", "item_j"), ["item_i", "item_j"], "left_anti")
+    stats = SIM.pair_statistics(todo, r, ist, materialize=materialize)
+    evaluated = SIM.pair_weights(stats, kept_only=False).select(*WEIGHT_COLS)
+    if known_weights is None:
+        weights = evaluated.where("keep")
+    else:
+        weights = known_weights.select(*WEIGHT_COLS).unionByName(evaluated).where("keep")
     neigh = SIM.weighted_neighbours(cands, weights)
     top = top_neighbours(neigh, n)
     scores = weighted_mean(top)
     return CFParts(r.select("user_id", "item_id", "stars"), um, ist, routed, cands, pairs,
-                   stats, weights, neigh, top, scores)
+                   stats, weights, neigh, top, scores, evaluated)
 
 
 def predict(parts: CFParts, decimals: int | None = 6) -> DataFrame:

@@ -39,3 +39,27 @@ def test_one_output_folder_per_batch(spark, tmpdir_fresh):
     assert len(batches) == 2
     got = spark.read.parquet(out)
     assert got.count() == 3 and set(got.columns) >= {"user_id", "item_id", "prediction", "batch"}
+
+
+def test_pair_weight_memo_across_batches(spark, tmpdir_fresh):
+    rows = [("u1", "a", 4.0), ("u1", "b", 2.0), ("u2", "a", 5.0), ("u2", "b", 4.0),
+            ("u3", "b", 3.0), ("u3", "c", 5.0), ("u2", "c", 1.0)]
+    train = spark.createDataFrame(rows, "user_id string, item_id string, stars double")
+    tdir = os.path.join(tmpdir_fresh, "targets")
+    os.makedirs(tdir)
+    files = ["u1,c\n", "u1,c\nu3,a\nu2,c\n"]          # batch 2 repeats the pairs of batch 1
+    for k, body in enumerate(files):
+        with open(os.path.join(tdir, f"t{k}.csv"), "w") as f:
+            f.write("user_id,business_id\n" + body)
+    out, memo = os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "memo")
+    q = scoring.score_targets(spark, train, tdir, out, os.path.join(tmpdir_fresh, "ck"),
+                              max_files=1, weight_memo=memo)
+    q.awaitTermination(120)
+    first = {(r.item_i, r.item_j) for r in spark.read.parquet(os.path.join(memo, "batch=0")).collect()}
+    second = {(r.item_i, r.item_j) for r in spark.read.parquet(os.path.join(memo, "batch=1")).collect()}
+    assert first and not (first & second)                    # nothing scored twice
+    got = {(r.user_id, r.item_id): r.prediction
+           for r in spark.read.parquet(os.path.join(out, "batch=1")).collect()}
+    tg = spark.createDataFrame([("u1", "c"), ("u3", "a"), ("u2", "c")], "user_id string, item_id string")
+    exp = {(r.user_id, r.item_id): r.prediction for r in CF.cf_predict(train, tg).collect()}
+    assert got == exp                                        # memo gives the batch-path answer
