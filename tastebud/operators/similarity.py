@@ -78,19 +78,18 @@ def pair_statistics(pairs: DataFrame, r: DataFrame, item_stats: DataFrame,
     r_i, r_j = F.col("r_i"), F.col("r_j")
     ci, cj = r_i - F.col("m_i"), r_j - F.col("m_j")
 
+    # aggregate only the co-rating rows (few: most candidate pairs have no
+    # co-rater), then left-join them to the pair table so n = 0 pairs survive;
+    # AQE broadcasts the small aggregate at run time when it is under the
+    # threshold, so the pair table itself is not shuffled
+    agg = (co.groupBy("item_i", "item_j")
+           .agg(F.count(F.lit(1)).alias("n_co"), F.sum(S.closeness(r_i, r_j)).alias("s_close"),
+                F.sum(ci * cj).alias("s_ij"), F.sum(ci * ci).alias("ss_i"), F.sum(cj * cj).alias("ss_j")))
     zero = F.lit(0.0)
-    # one row per pair (so n = 0 pairs survive) unioned with one row per
-    # co-rating, then a single partial+final aggregation: no join back
-    base = p.select("item_i", "item_j", "m_i", "m_j", F.lit(0).alias("c"),
-                    zero.alias("close"), zero.alias("xy"), zero.alias("xx"), zero.alias("yy"))
-    rows = co.select("item_i", "item_j", "m_i", "m_j", F.lit(1).alias("c"),
-                     S.closeness(r_i, r_j).alias("close"), (ci * cj).alias("xy"),
-                     (ci * ci).alias("xx"), (cj * cj).alias("yy"))
-    return (base.unionByName(rows)
-            .groupBy("item_i", "item_j")
-            .agg(F.max("m_i").alias("m_i"), F.max("m_j").alias("m_j"),
-                 F.sum("c").cast("bigint").alias("n_co"), F.sum("close").alias("s_close"),
-                 F.sum("xy").alias("s_ij"), F.sum("xx").alias("ss_i"), F.sum("yy").alias("ss_j")))
+    return (p.select("item_i", "item_j", "m_i", "m_j").join(agg, ["item_i", "item_j"], "left")
+            .select("item_i", "item_j", "m_i", "m_j",
+                    F.coalesce("n_co", F.lit(0)).cast("bigint").alias("n_co"),
+                    *[F.coalesce(c, zero).alias(c) for c in ("s_close", "s_ij", "ss_i", "ss_j")]))
 
 
 def pair_weights(stats: DataFrame, kept_only: bool = True) -> DataFrame:
