@@ -16,9 +16,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def summarise(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    # after execution the adaptive plan reports its final form
+    # run this very query execution (rows counted in the executors, none
+    # collected) so its adaptive plan is final, then print that plan
+    qe = df._jdf.queryExecution()
+    qe.executedPlan().execute().count()
+    plan = qe.executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    plan = plan.split("Initial Plan")[0]          # the final section only
     ops = Counter()
     for name in ("Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
                  "BroadcastExchange", "ReusedExchange", "SortMergeJoin", "ShuffledHashJoin",
