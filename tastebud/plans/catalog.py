@@ -279,7 +279,7 @@ def hybrid_blend(spark, sf_dir):
 
 # ---------------------------------------------------------------- model-based, hybrid
 # Boosting rounds of the catalog's model queries.  The library default is the
-# surveyed 383; Spark's level-wise learner costs about 0.7 s per depth-7 round
+# surveyed 383; Spark's level-wise learner costs 0.7-1.1 s per depth-7 round
 # on sf0.1 with local[8], so the registered queries use fewer rounds.
 CATALOG_GBT = MO.GBTParams(rounds=50)
 
