@@ -1,6 +1,6 @@
 """Command-line jobs: file inputs -> prediction file, one per predictor.
 
-    python -m tastebud.jobs cf     TRAIN_CSV TARGETS_CSV OUT_DIR [--n 30]
+    python -m tastebud.jobs cf     TRAIN_CSV TARGETS_CSV OUT_DIR [--n 30] [--exclude-self]
     python -m tastebud.jobs model  FOLDER TARGETS_CSV OUT_DIR [--rounds 383]
     python -m tastebud.jobs hybrid FOLDER TARGETS_CSV OUT_DIR [--rounds 383]
 
@@ -32,10 +32,12 @@ def _targets(spark: SparkSession, path: str) -> DataFrame:
     return t
 
 
-def cf_job(spark: SparkSession, train_csv: str, targets_csv: str, out: str, n: int = 30) -> DataFrame:
+def cf_job(spark: SparkSession, train_csv: str, targets_csv: str, out: str, n: int = 30,
+           exclude_self: bool = False) -> DataFrame:
     train = readers.read_ratings(spark, train_csv)
     t = _targets(spark, targets_csv)
-    pred = CF.cf_predict(train, t.select("user_id", "item_id").distinct(), n=n, decimals=None)
+    pred = CF.cf_predict(train, t.select("user_id", "item_id").distinct(), n=n,
+                         exclude_self=exclude_self, decimals=None)
     res = t.join(pred.select("user_id", "item_id", "prediction"), ["user_id", "item_id"], "left")
     sinks.write_predictions(res, out, order_col="target_id")
     return res
@@ -78,13 +80,15 @@ def main(argv=None) -> None:
     ap.add_argument("targets")
     ap.add_argument("out")
     ap.add_argument("--n", type=int, default=30)
+    ap.add_argument("--exclude-self", action="store_true",
+                    help="CF: do not use a target's own rating as a neighbour")
     ap.add_argument("--rounds", type=int, default=383)
     ap.add_argument("--embed-steps", type=int, default=30)
     ap.add_argument("--embed-lr", type=float, default=0.1)
     a = ap.parse_args(argv)
     spark = SE.build_session(app=f"tastebud-{a.kind}")
     if a.kind == "cf":
-        cf_job(spark, a.inputs, a.targets, a.out, a.n)
+        cf_job(spark, a.inputs, a.targets, a.out, a.n, a.exclude_self)
     else:
         model_job(spark, a.inputs, a.targets, a.out, a.rounds, hybrid=a.kind == "hybrid",
                   embed_steps=a.embed_steps, embed_lr=a.embed_lr)
