@@ -71,3 +71,18 @@ def test_profile_figures(spark, sf):
     got = fr.agg(F.count(F.when(nu & ~ni, 1)).alias("u"), F.count(F.when(ni & ~nu, 1)).alias("i"),
                  F.count(F.when(nu & ni, 1)).alias("b")).first()
     assert (got.u, got.i, got.b) == rows
+
+
+@pytest.mark.parametrize("sf,expected", [("sf0.001", 81), ("sf0.01", 1020)])
+def test_model_known_but_cf_cold(spark, sf, expected):
+    """Targets known in train ∪ val but cold for CF (trained on train only):
+    the hybrid scores them with the CF scalar, 0 neighbours, alpha 0.05."""
+    from tastebud.plans import catalog
+    hb = catalog.QUERIES["hybrid_blend"](spark, f"/root/testdata/{sf}")
+    r = FX.ratings(spark, f"/root/testdata/{sf}")
+    cf_routes = CF.cf_parts(FX.split_ratings(r, "train"), FX.targets(r)).routed.select(
+        "user_id", "item_id", F.col("route").alias("cf_route"))
+    j = hb.join(cf_routes, ["user_id", "item_id"]).where((F.col("route") == "both") &
+                                                         (F.col("cf_route") != "both"))
+    assert j.count() == expected
+    assert j.where((F.col("alpha") != 0.05) | (F.col("n_neighbours") != 0)).count() == 0
