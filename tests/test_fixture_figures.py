@@ -39,6 +39,7 @@ ROUTES = {
     # neither / item only / user only / both
     "sf0.001": {"cf": (4, 196, 169, 1084), "model": (3, 166, 119, 1165)},
     "sf0.01": {"cf": (103, 2108, 1840, 10942), "model": (41, 1556, 1434, 11962)},
+    "sf0.1": {"cf": (1033, 21467, 18497, 109874), "model": (389, 16382, 14037, 120063)},
 }
 
 
