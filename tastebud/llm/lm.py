@@ -1,16 +1,18 @@
 """Subword lattice likelihood: the probability of a text over all its segmentations.
 
-A vocabulary of pieces with existing scores spans a lattice over every word
-(a space, then the word's UTF-8 bytes; single bytes are always pieces).  The
+A vocabulary of pieces with existing scores spans a lattice over every word: a
+space, the word's UTF-8 bytes, a stop (single bytes are always pieces).  The
 forward recursion in log space sums the weight of all segmentations, so a
-word's probability is marginal, not that of its best split.  A text is its
-words and one end: pieces and the end share one distribution, hence the values
-are probabilities of texts.
+word's probability is marginal, not that of its best split.  First pieces,
+those with the space, are one distribution, the others and the stop another.
+A word of the training rows is one more arc, over its whole lattice: of its c
+occurrences c - d weigh that arc, and the discounts d of all words weigh the
+pieces.  A text is its words and one end; all probabilities sum to 1.
 
-The scores are re-estimated on the training rows: expected piece counts from
-forward and backward passes over the *distinct* words of the corpus, weighted
-by their counts, with the existing scores as a prior.  Word counts are a
-grouped sum over all documents; the pieces are a vocabulary of fixed size.
+The piece scores are re-estimated on the training rows: expected counts from
+forward and backward passes over the *distinct* words of the corpus (the
+discounts are one a word), with the existing scores as a prior.  Word counts
+are a grouped sum over all documents; the pieces are a vocabulary of fixed size.
 
 Each distinct word goes through the lattice once.  Words that make up more than
 1/2**FREQUENT_BITS of the corpus (so at most 2**FREQUENT_BITS, of at most
@@ -72,7 +74,7 @@ class Lattice:
     FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, pieces: list[bytes], logp: np.ndarray) -> None:
-        self.pieces, self.logp = pieces, np.append(logp, NONE)
+        self.pieces, self.logp, self.stop = pieces, np.append(logp[:-1], NONE), logp[-1]    # last: the stop
         self.index = {p: i for i, p in enumerate(pieces)}
         self.most = max(map(len, pieces))
         hashes = np.array([self._hash(p) for p in pieces], np.uint64)
@@ -147,7 +149,7 @@ class Lattice:
         return alpha[-1]
 
     def run(self, words: list[bytes], weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Natural log of each word's probability; with weights also the expected piece counts."""
+        """Natural log of each word's probability from pieces; with weights also the expected piece counts."""
         out, counts = np.zeros(len(words)), np.zeros(len(self.pieces) + 1)
         by_size: dict[int, list[int]] = {}
         for i, w in enumerate(words):
@@ -172,7 +174,12 @@ class Lattice:
                     beta[i] = np.logaddexp.reduce(terms)
                     for p, t in zip(arcs[i], terms, strict=True):
                         counts += np.bincount(p, w * np.exp(alpha[i] + t - alpha[-1]), len(counts))
-        return out, counts[:-1]
+        return out + self.stop, counts[:-1]
+
+
+def normalized(count: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Log probabilities: first pieces among themselves, the others with the stop."""
+    return np.log(np.where(first, count / count[first].sum(), count / count[~first].sum()))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,18 +207,20 @@ def _expect(model):
         lattice = Lattice(*model.value)
         total = np.zeros(len(lattice.pieces))
         for batch in batches:
-            total += lattice.run(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float))[1]
+            total += lattice.run(batch.column(0).to_pylist(), np.ones(batch.num_rows))[1]
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["piece", "expected"])
     return run
 
 
-def _score(model):
+def _score(model, discount: float, spare: float, total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*model.value)
         for batch in batches:
             words = batch.column(0).to_pylist()
-            logs = lattice.run(words)[0] / math.log(10)
+            whole = np.maximum(batch.column(1).to_numpy() - discount, 0)
+            logs = np.logaddexp(np.log(np.maximum(whole, 1e-300)), math.log(spare) + lattice.run(words)[0])
+            logs = (logs - math.log(total + 2)) / math.log(10)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(logs),
                  pa.array(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64).view(np.int64))],
@@ -238,7 +247,7 @@ def _documents(frequent):
     return run
 
 
-def lattice_scores(docs: DataFrame, held, pieces: dict[bytes, float], rounds: int = 2, prior: float = 1000.0) -> DataFrame:
+def lattice_scores(docs: DataFrame, held, pieces: dict[bytes, float], rounds: int = 2, prior: float = 100.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
 
     ``held`` is a Boolean column: rows that are scored but never learned from.
@@ -251,24 +260,27 @@ def lattice_scores(docs: DataFrame, held, pieces: dict[bytes, float], rounds: in
     words = materialize(docs.select("text", "held_out").mapInArrow(_count, "word binary, c long")
                         .groupBy("word").agg(F.sum("c").alias("c")), "lm_words")
     ends = docs.filter(~F.col("held_out")).count()
-    got = words.filter("c > 0").agg(F.sum("c"), F.count("*")).first()
+    known = words.filter("c > 0")
+    got = known.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     total, distinct = (got[0] or 0) + ends, got[1] + bool(ends)
+    discount = got[2] / (got[2] + 2 * got[3]) if got[2] and got[3] else 0.5
 
     names = sorted(pieces)
+    first = np.array([p[:1] == b" " for p in names] + [False])
     weight = np.exp(np.array([pieces[p] for p in names]))
+    weight = np.append(weight, weight.sum() / 4)        # of the prior: a stop after four pieces
     weight /= weight.sum()
-    end = 1 / (1 + 100.0)       # of the prior: a text of a hundred pieces
-    logp = np.log(weight * (1 - end))
-    for _ in range(rounds if ends else 0):
+    logp = normalized(weight, first)
+    for _ in range(rounds if got[1] else 0):
         model = sc.broadcast((names, logp))
-        count = prior * (1 - end) * weight
-        for r in (words.filter("c > 0").mapInArrow(_expect(model), "piece int, expected double")
+        count = prior * weight
+        count[-1] += got[1]
+        for r in (known.mapInArrow(_expect(model), "piece int, expected double")
                   .groupBy("piece").agg(F.sum("expected").alias("expected")).toLocalIterator()):   # at most a row a piece
             count[r["piece"]] += r["expected"]
-        stop = prior * end + ends
-        logp, end = np.log(count / (count.sum() + stop)), stop / (count.sum() + stop)
-    model = sc.broadcast((names, logp))
-    scored = materialize(words.mapInArrow(_score(model), "word binary, c long, lp double, h long"), "lm_scored")
+        logp = normalized(count, first)
+    scored = materialize(words.mapInArrow(
+        _score(sc.broadcast((names, logp)), discount, discount * got[1] + 1, total), "word binary, c long, lp double, h long"), "lm_scored")
 
     least = max(1, total >> FREQUENT_BITS)
     top = scored.filter((F.col("c") > least) & (F.length("word") <= FREQUENT_BYTES)).select("word", "c", "lp").collect()
@@ -292,4 +304,4 @@ def lattice_scores(docs: DataFrame, held, pieces: dict[bytes, float], rounds: in
                     (F.col("known") + zero("rare_known") + int(ends > 0)).cast("long").alias("n_known"),
                     F.lit(total).cast("long").alias("train_tokens"),
                     (F.col("base") + zero("rare_base") + end_base).alias("base_score"),
-                    (F.col("lp") + zero("rare_lp") + float(math.log10(end))).alias("score")))
+                    (F.col("lp") + zero("rare_lp") + math.log10((ends + 1) / (total + 2))).alias("score")))
