@@ -264,3 +264,13 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     return (rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(ids, "node", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """``docs``, all columns: of every component the row with the smallest id, once if repeated.
+
+    Rows without an id stay where no row of their component has one, one for each text.
+    """
+    low = jaccard_components(docs, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    low = low.select(F.col("doc_id").alias("_low")).distinct()
+    return (docs.join(low, F.col("doc_id").eqNullSafe(F.col("_low")), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -134,38 +134,52 @@ class WordNumbers:
         return tuple(c[own] for c in self.cols)
 
 
+def text_scores(texts: list[bytes | None], memo: WordNumbers, bias: float) -> np.ndarray:
+    """Probability of label 1 for each text."""
+    out, held, size = [], [], 0
+
+    def flush() -> None:
+        hashes, sums, counts = memo.of([w for words in held for w in words])
+        ends = np.cumsum([len(words) for words in held])
+        for words, z in zip(held, ends, strict=True):
+            a = z - len(words)
+            pairs = pair_rows(hashes[a:z])
+            total = sums[a:z].sum() + memo.number[pairs].sum(dtype=np.float64)
+            out.append(total / max(1, counts[a:z].sum() + len(pairs)) + bias)
+
+    for text in texts:
+        held.append((text or b"").split())
+        size += len(held[-1])
+        if size > BLOCK_WORDS:
+            flush()
+            held, size = [], 0
+    if any(held):
+        flush()
+    else:
+        out += [bias] * len(held)
+    return 1 / (1 + np.exp(-np.clip(np.array(out, np.float64), -500, 500)))
+
+
 def _scores(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, bias = model.value
         memo = WordNumbers(number)
         for batch in batches:
-            out, held, size = [], [], 0
-
-            def flush() -> None:
-                hashes, sums, counts = memo.of([w for words in held for w in words])
-                ends = np.cumsum([len(words) for words in held])
-                for words, z in zip(held, ends, strict=True):
-                    a = z - len(words)
-                    pairs = pair_rows(hashes[a:z])
-                    total = sums[a:z].sum() + number[pairs].sum(dtype=np.float64)
-                    out.append(total / max(1, counts[a:z].sum() + len(pairs)) + bias)
-
-            for text in batch.column(2).to_pylist():
-                held.append((text or b"").split())
-                size += len(held[-1])
-                if size > BLOCK_WORDS:
-                    flush()
-                    held.clear()
-                    size = 0
-            if any(held):
-                flush()
-            else:
-                out += [bias] * len(held)
-            score = 1 / (1 + np.exp(-np.clip(np.array(out, np.float64), -500, 500)))
+            score = text_scores(batch.column(2).to_pylist(), memo, bias)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], ["doc_id", "held_out", "score"])
     return run
 
 
+def _accepted(model, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, bias = model.value
+        memo = WordNumbers(number)
+        for batch in batches:
+            texts = [t.encode() if t else b"" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            yield batch.filter(pa.array(text_scores(texts, memo, bias) >= least))
+    return run
+
+
 def sample_of(docs: DataFrame, labels: DataFrame, sample: int, longest: int) -> list[tuple[bytes | None, int]]:
     """At most ``sample`` labelled rows a class, by id hash; texts over ``longest`` bytes are scored, not learned from."""
     labels = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -177,15 +191,25 @@ def sample_of(docs: DataFrame, labels: DataFrame, sample: int, longest: int) ->
     return rows
 
 
+def fitted(docs: DataFrame, labels: DataFrame, held: Column, sample: int, longest: int):
+    """A broadcast model, from rows that ``held`` doesn't mark."""
+    ship_package(docs.sparkSession)
+    docs = docs.filter(~F.coalesce(held, F.lit(False))).select("doc_id", F.col("text").cast("binary").alias("text"))
+    return docs.sparkSession.sparkContext.broadcast(train(sample_of(docs, labels, sample, longest)))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, held: Column, sample: int = 1500, longest: int = 32_768) -> DataFrame:
     """doc_id, held_out, score (probability of label 1), predicted for every row of ``docs``.
 
     ``held`` is a Boolean column: rows whose labels are never read.  The fit
     reads at most 2 * ``sample`` texts of at most ``longest`` bytes: 100 MB.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
-    docs = docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias("text"))
-    model = spark.sparkContext.broadcast(train(sample_of(docs.filter(~F.col("held_out")), labels, sample, longest)))
-    return (docs.mapInArrow(_scores(model), "doc_id long, held_out boolean, score double")
+    model = fitted(docs, labels, held, sample, longest)
+    rows = docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias("text"))
+    return (rows.mapInArrow(_scores(model), "doc_id long, held_out boolean, score double")
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, held: Column, least: float = 0.5, sample: int = 1500, longest: int = 32_768) -> DataFrame:
+    """``docs``, all columns, without the rows that score below ``least``: a filter, no join."""
+    return docs.mapInArrow(_accepted(fitted(docs, labels, held, sample, longest), least), docs.schema)
