@@ -181,13 +181,18 @@ def _accepted(model, least: float):
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, sample: int, longest: int) -> list[tuple[bytes | None, int]]:
-    """At most ``sample`` labelled rows a class, by id hash; texts over ``longest`` bytes are scored, not learned from."""
+    """At most ``sample`` labelled rows a class, by id hash; texts over ``longest`` bytes are scored, not learned from.
+
+    Ids are chosen first, so only the chosen rows' texts leave the scan.
+    """
     labels = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = docs.filter(F.length("text") <= longest).join(labels, "doc_id")
+    ids = docs.filter(F.length("text") <= longest).select("doc_id").join(labels, "doc_id")
     rows = []
     for y in (0, 1):
-        part = known.filter((F.col("quality") > 0) == F.lit(bool(y)))
-        rows += [(r["text"], y) for r in part.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).select("text").limit(sample).collect()]
+        part = ids.filter((F.col("quality") > 0) == F.lit(bool(y)))
+        chosen = [r["doc_id"] for r in part.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+        own = docs.filter((F.length("text") <= longest) & F.col("doc_id").isin(chosen))     # repeated ids: limited again
+        rows += [(r["text"], y) for r in own.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).select("text").limit(sample).collect()]
     return rows
 
 
