@@ -41,6 +41,7 @@ from .common import materialize, ship_package, words_of
 FREQUENT_BITS, FREQUENT_BYTES = 17, 64
 LONGEST = 48            # bytes of words that go through the lattice in blocks; longer ones go one by one
 BLOCK = 4_000           # words in a block
+CHUNK = 120_000         # words sorted into blocks together
 TASK_WORDS = 400_000    # distinct words counted together by one map task
 NONE = -1e30
 
@@ -202,11 +203,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches in groups of CHUNK rows: blocks of one word length stay large."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= CHUNK:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 def _expect(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*model.value)
         total = np.zeros(len(lattice.pieces))
-        for batch in batches:
+        for batch in chunks(batches):
             total += lattice.run(batch.column(0).to_pylist(), np.ones(batch.num_rows))[1]
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["piece", "expected"])
@@ -216,13 +230,13 @@ def _expect(model):
 def _score(model, discount: float, spare: float, total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*model.value)
-        for batch in batches:
+        for batch in chunks(batches):
             words = batch.column(0).to_pylist()
             whole = np.maximum(batch.column(1).to_numpy() - discount, 0)
             logs = np.logaddexp(np.log(np.maximum(whole, 1e-300)), math.log(spare) + lattice.run(words)[0])
             logs = (logs - math.log(total + 2)) / math.log(10)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(logs),
+                [pa.array(words, pa.binary()), batch.column(1).combine_chunks(), pa.array(logs),
                  pa.array(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64).view(np.int64))],
                 ["word", "c", "lp", "h"])
     return run
