@@ -31,6 +31,13 @@ from pyspark.sql import functions as F
 from .common import WORD, materialize
 
 BITS, LEVELS = 12, 5
+FEW_SOURCES = 100_000   # rows of a configuration that is broadcast; a larger one meets the texts in a shuffled join
+
+
+def small(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A configuration table, broadcast where its rows are counted to be few."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= FEW_SOURCES else df
 
 
 def cyclic_weights(sources: Sequence[str | None], cycle: Sequence[float] = (1, 2, 3)) -> dict[str | None, float]:
@@ -73,7 +80,7 @@ def thresholds(rows: DataFrame, budgets: list[tuple[int, str | None, float]]) ->
         if not state:
             break
         up, here = BITS * (LEVELS - level + 1), BITS * (LEVELS - level)
-        now = spark.createDataFrame(state, schema)
+        now = small(spark, state, schema)
         cells = (rows.withColumn("cell", F.shiftright("u", up)).join(
             now.withColumnsRenamed({"source": "s", "cell": "c"}), F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
             .groupBy("k", "source", F.shiftright("u", here).alias("cell"))
@@ -110,7 +117,7 @@ def mixed(docs: DataFrame, shares: Sequence[float] = (1.0,), weights: dict[str |
     below = {(k, s): u for k, s, u in thresholds(rows, [x for x in left if x[2] > 0])}
     plan = [(s, sizes[s], [t[s] for t in goal], [int(t[s] // sizes[s]) if sizes[s] else 0 for t in goal],
              [below.get((k, s), 0) for k in range(len(goal))]) for s in sizes]
-    plan = spark.createDataFrame(plan, "_s string, _n long, _target array<double>, _copies array<int>, _below array<long>")
+    plan = small(spark, plan, "_s string, _n long, _target array<double>, _copies array<int>, _below array<long>")
     out = docs.join(plan, F.col("source").cast("string").eqNullSafe(F.col("_s")), "left")
     new = {"source_size": F.col("_n")}
     for k in range(len(goal)):
