@@ -17,7 +17,7 @@ from tastebud.session import materialize, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: distinct words remembered by one Python worker before its memo is emptied
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 
 __all__ = ["WORD", "WordHashes", "connected_components", "held_out", "lower_az", "mix64", "materialize",
            "rolling", "ship_package", "table", "words_of"]

@@ -42,7 +42,7 @@ FREQUENT_BITS, FREQUENT_BYTES = 17, 64
 LONGEST = 48            # bytes of words that go through the lattice in blocks; longer ones go one by one
 BLOCK = 4_000           # words in a block
 CHUNK = 120_000         # words sorted into blocks together
-TASK_WORDS = 400_000    # distinct words counted together by one map task
+TASK_WORDS = 300_000    # distinct words counted together by one map task
 NONE = -1e30
 
 
