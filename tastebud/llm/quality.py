@@ -34,6 +34,7 @@ BITS = 18               # rows of the table: 2**BITS
 WIDTH = 10              # of a vector
 GRAMS = (3, 4)          # lengths of character n-grams, in bytes
 BLOCK_WORDS = 100_000   # words looked up together
+LEAST_STEPS = 6_000     # of training, however few the rows
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -94,7 +95,7 @@ def train(rows: list[tuple[bytes | None, int]], epochs: int = 6, rate: float = 0
         docs.append((at, (n / max(1, n.sum())).astype(np.float32), y))
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BITS, WIDTH)).astype(np.float32)
     out, bias = np.zeros((2, WIDTH), np.float32), np.zeros(2, np.float32)
-    steps = epochs * len(docs)
+    steps = max(epochs * len(docs), LEAST_STEPS)
     for step in range(steps):
         if step % len(docs) == 0:
             order = rng.permutation(len(docs))
