@@ -6,9 +6,9 @@
 
 FOLDER holds ``train.csv``, ``val.csv``, ``items.json`` and
 ``users.json`` (names configurable).  Output is a folder with the prediction
-CSV (header ``user_id, business_id, prediction``) in target-file order: the
-order is an id taken at read time (increasing with file position), used only
-by the final range-partitioned sort.
+CSV (header ``user_id, business_id, prediction``) in target-file order: file
+path, then place in the file, used only by the final range-partitioned sort.
+Tables written on the way are removed at the end.
 """
 
 from __future__ import annotations
@@ -27,9 +27,12 @@ from .operators import model as MO
 from .sources import readers, sinks
 
 
+#: file order of targets over any number of files
+ORDER = ["file", "block", "target_id"]
+
+
 def _targets(spark: SparkSession, path: str) -> DataFrame:
-    t = readers.read_targets(spark, path).withColumn("target_id", F.monotonically_increasing_id())
-    return t
+    return SE.materialize(readers.read_targets(spark, path, place=True), "job_targets")
 
 
 def cf_job(spark: SparkSession, train_csv: str, targets_csv: str, out: str, n: int = 30,
@@ -39,7 +42,7 @@ def cf_job(spark: SparkSession, train_csv: str, targets_csv: str, out: str, n: i
     pred = CF.cf_predict(train, t.select("user_id", "item_id").distinct(), n=n,
                          exclude_self=exclude_self, decimals=None)
     res = t.join(pred.select("user_id", "item_id", "prediction"), ["user_id", "item_id"], "left")
-    sinks.write_predictions(res, out, order_col="target_id")
+    sinks.write_predictions(res, out, order_col=ORDER)
     return res
 
 
@@ -54,12 +57,11 @@ def _model_inputs(spark, folder, train_name, val_name, items_name, users_name):
 def model_job(spark, folder, targets_csv, out, rounds=383, hybrid=False,
               train_name="train.csv", val_name="val.csv",
               items_name="items.json", users_name="users.json",
-              embed_steps: int = 30, embed_lr: float = 0.1) -> DataFrame:
+              embed: EM.EmbedParams = EM.EmbedParams()) -> DataFrame:
     ratings, users, items = _model_inputs(spark, folder, train_name, val_name, items_name, users_name)
     t = _targets(spark, targets_csv)
     pairs = t.select("user_id", "item_id").distinct()
-    run = MO.run_model(ratings, users, items, pairs, MO.GBTParams(rounds=rounds),
-                       EM.EmbedParams(steps=embed_steps, lr=embed_lr))
+    run = MO.run_model(ratings, users, items, pairs, MO.GBTParams(rounds=rounds), embed)
     scored = run.targets
     if hybrid:
         train = ratings.where(F.col("split") == "train").select("user_id", "item_id", "stars")
@@ -69,7 +71,7 @@ def model_job(spark, folder, targets_csv, out, rounds=383, hybrid=False,
                                            "n_neighbours"), decimals=None)
     scored = SE.materialize(scored.select("user_id", "item_id", "prediction"), "job_scores")
     res = t.join(scored, ["user_id", "item_id"], "left")
-    sinks.write_predictions(res, out, order_col="target_id")
+    sinks.write_predictions(res, out, order_col=ORDER)
     return res
 
 
@@ -83,15 +85,16 @@ def main(argv=None) -> None:
     ap.add_argument("--exclude-self", action="store_true",
                     help="CF: do not use a target's own rating as a neighbour")
     ap.add_argument("--rounds", type=int, default=383)
-    ap.add_argument("--embed-steps", type=int, default=30)
-    ap.add_argument("--embed-lr", type=float, default=0.1)
+    ap.add_argument("--embed-steps", type=int, default=EM.EmbedParams.steps)
+    ap.add_argument("--embed-lr", type=float, default=EM.EmbedParams.lr)
     a = ap.parse_args(argv)
     spark = SE.build_session(app=f"tastebud-{a.kind}")
-    if a.kind == "cf":
-        cf_job(spark, a.inputs, a.targets, a.out, a.n, a.exclude_self)
-    else:
-        model_job(spark, a.inputs, a.targets, a.out, a.rounds, hybrid=a.kind == "hybrid",
-                  embed_steps=a.embed_steps, embed_lr=a.embed_lr)
+    with SE.released(spark):
+        if a.kind == "cf":
+            cf_job(spark, a.inputs, a.targets, a.out, a.n, a.exclude_self)
+        else:
+            model_job(spark, a.inputs, a.targets, a.out, a.rounds, hybrid=a.kind == "hybrid",
+                      embed=EM.EmbedParams(steps=a.embed_steps, lr=a.embed_lr))
     spark.stop()
 
 

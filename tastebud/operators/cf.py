@@ -13,6 +13,7 @@ the user's mean when no neighbour survives.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,23 +25,6 @@ from . import ratings as RA
 from . import similarity as SIM
 
 
-@dataclass
-class CFParts:
-    """Intermediate tables of one CF run (all lazy DataFrames)."""
-    dedup: DataFrame
-    user_mean: DataFrame
-    item_stats: DataFrame
-    routed: DataFrame
-    candidates: DataFrame
-    pairs: DataFrame
-    stats: DataFrame
-    weights: DataFrame
-    neighbours: DataFrame
-    top: DataFrame
-    scores: DataFrame
-    evaluated: DataFrame | None = None   # pairs scored in this run, kept or not
-
-
 def route_targets(targets: DataFrame, user_mean: DataFrame, item_stats: DataFrame) -> DataFrame:
     """Left-join the known-user / known-item flags and the user mean."""
     um = user_mean.select("user_id", F.col("mean_stars").alias("user_mean"))
@@ -88,53 +72,93 @@ def prepare(train: DataFrame, dedup_how: str = "max", materialize: bool = True)
     r = RA.dedup_with_raw(train, dedup_how)
     if materialize:
         r = SE.materialize(r, "cf_dedup")
-    return CFTrain(r, RA.user_mean_from_dedup(r), RA.item_mean(r))
+    items = RA.item_mean(r)     # read by the routes and by four joins
+    if materialize:
+        items = SE.materialize(items, "cf_items")
+    return CFTrain(r, RA.user_mean_from_dedup(r), items)
 
 
 WEIGHT_COLS = ["item_i", "item_j", "n_co", "raw_w", "keep", "weight"]
 
 
+class CFParts:
+    """The stages of one CF run, each planned (and written, if shared) when first read.
+
+    A caller that reads ``routed`` or ``pairs`` alone never writes the pair table.
+    """
+
+    def __init__(self, prepared: CFTrain, targets: DataFrame, n: int, exclude_self: bool,
+                 materialize: bool, known_weights: DataFrame | None) -> None:
+        self.train, self.targets, self.n = prepared, targets, n
+        self.exclude_self, self.materialize, self.known = exclude_self, materialize, known_weights
+        self.dedup = prepared.dedup.select("user_id", "item_id", "stars")
+        self.user_mean, self.item_stats = prepared.user_mean, prepared.item_stats
+
+    @cached_property
+    def routed(self) -> DataFrame:
+        t = route_targets(self.targets, self.user_mean, self.item_stats)
+        return SE.materialize(t, "cf_routed") if self.materialize else t
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        warm = self.routed.where(F.col("route") == RT.BOTH).select("user_id", "item_id")
+        c = SIM.candidate_neighbours(warm, self.train.dedup)
+        return c.where(F.col("item_id") != F.col("neighbour_id")) if self.exclude_self else c
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return SIM.candidate_pairs(self.candidates)
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        todo = self.pairs
+        if self.known is not None:
+            todo = todo.join(self.known.select("item_i", "item_j"), ["item_i", "item_j"], "left_anti")
+        return SIM.pair_statistics(todo, self.train.dedup, self.item_stats, materialize=self.materialize)
+
+    @cached_property
+    def evaluated(self) -> DataFrame:
+        """Pairs scored in this run, kept or not."""
+        return SIM.pair_weights(self.stats, kept_only=False).select(*WEIGHT_COLS)
+
+    @cached_property
+    def weights(self) -> DataFrame:
+        if self.known is None:
+            return self.evaluated.where("keep")
+        return self.known.select(*WEIGHT_COLS).unionByName(self.evaluated).where("keep")
+
+    @cached_property
+    def neighbours(self) -> DataFrame:
+        return SIM.weighted_neighbours(self.candidates, self.weights)
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return top_neighbours(self.neighbours, self.n)
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return weighted_mean(self.top)
+
+
 def cf_parts(train: DataFrame | None, targets: DataFrame, n: int = S.TOP_N,
              exclude_self: bool = False, dedup_how: str = "max",
              materialize: bool = True, prepared: CFTrain | None = None,
              known_weights: DataFrame | None = None) -> CFParts:
-    """Build every stage of the CF plan.
+    """The stages of a CF run over ``targets``.
 
     ``train``: (user_id, item_id, stars) raw rows (or ``prepared`` tables from
     :func:`prepare`); ``targets``: (user_id, item_id, ...) distinct pairs.
     ``exclude_self`` drops b0 = b from the candidates (off by default, as in
     the surveyed behaviour).  With ``materialize`` the routed targets and the
-    annotated pair table are also written once (two consumers each).
+    annotated pair table are written once (two consumers each).
 
     ``known_weights`` (``WEIGHT_COLS``, kept and dropped pairs, computed from
     the same train table) is a memo of earlier runs: only candidate pairs
     missing from it are scored (anti join), and ``evaluated`` returns the newly
     scored ones so a caller can extend the memo.
     """
-    tr = prepared or prepare(train, dedup_how, materialize)
-    r, um, ist = tr.dedup, tr.user_mean, tr.item_stats
-    routed = route_targets(targets, um, ist)
-    if materialize:
-        routed = SE.materialize(routed, "cf_routed")
-    warm = routed.where(F.col("route") == RT.BOTH).select("user_id", "item_id")
-    cands = SIM.candidate_neighbours(warm, r)
-    if exclude_self:
-        cands = cands.where(F.col("item_id") != F.col("neighbour_id"))
-    pairs = SIM.candidate_pairs(cands)
-    todo = pairs
-    if known_weights is not None:
-        todo = pairs.join(known_weights.select("item_i", "item_j"), ["item_i", "item_j"], "left_anti")
-    stats = SIM.pair_statistics(todo, r, ist, materialize=materialize)
-    evaluated = SIM.pair_weights(stats, kept_only=False).select(*WEIGHT_COLS)
-    if known_weights is None:
-        weights = evaluated.where("keep")
-    else:
-        weights = known_weights.select(*WEIGHT_COLS).unionByName(evaluated).where("keep")
-    neigh = SIM.weighted_neighbours(cands, weights)
-    top = top_neighbours(neigh, n)
-    scores = weighted_mean(top)
-    return CFParts(r.select("user_id", "item_id", "stars"), um, ist, routed, cands, pairs,
-                   stats, weights, neigh, top, scores, evaluated)
+    return CFParts(prepared or prepare(train, dedup_how, materialize), targets, n,
+                   exclude_self, materialize, known_weights)
 
 
 def predict(parts: CFParts, decimals: int | None = 6) -> DataFrame:

@@ -117,12 +117,13 @@ def split_rank():
     return F.when(F.col("split") == "train", 0).when(F.col("split") == "val", 1).otherwise(2)
 
 
-def first_occurrence(rows: DataFrame, key: str) -> DataFrame:
-    """First row per ``key`` in (split, item/user, stars) order, as a min of a struct.
+def first_occurrence(rows: DataFrame, key: str, position: str | None = None) -> DataFrame:
+    """First row per ``key``: by ``position`` where given, else in (split, item/user, stars) order.
 
-    A partial aggregate (no window, no group gathered in one task).
+    A min of a struct: a partial aggregate (no window, no group gathered in one task).
     """
     other = "item_id" if key == "user_id" else "user_id"
-    m = F.min(F.struct(split_rank().alias("s"), F.col(other).alias("o"), F.col("stars").alias("r")))
+    place = F.col(position) if position else split_rank()
+    m = F.min(F.struct(place.alias("s"), F.col(other).alias("o"), F.col("stars").alias("r")))
     return (rows.groupBy(key).agg(m.alias("f"))
             .select(key, F.col("f.o").alias(f"first_{other}"), F.col("f.r").alias("first_stars")))

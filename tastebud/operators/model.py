@@ -113,7 +113,7 @@ def gbt_pipeline(p: GBTParams, cols: list[str], label: str = "stars") -> Pipelin
     imp_out = [f"{c}_imp" for c in cols]
     imputer = Imputer(strategy="median", inputCols=cols, outputCols=imp_out)
     asm = VectorAssembler(inputCols=imp_out + ["user_missing", "item_missing"],
-                          outputCol="features", handleInvalid="keep")
+                          outputCol="features", handleInvalid="error")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="model_score",
                        maxIter=p.rounds, stepSize=p.step_size, maxDepth=p.max_depth,
                        subsamplingRate=p.subsample, featureSubsetStrategy=str(p.feature_subset),
@@ -133,11 +133,15 @@ def as_double(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+#: partitions of the trees' input.  Rows are drawn by seed and partition, so the
+#: count is fixed: the fitted model is the same on every cluster.
+TREE_PARTITIONS = 32
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: tree training parallelism is the
-    input's partition count, and a small input can arrive as one file."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    """Rows dealt by key into TREE_PARTITIONS, ordered within each."""
+    keys = [c for c in ("user_id", "item_id", "stars") if c in df.columns]
+    return df.repartition(TREE_PARTITIONS, *keys[:2]).sortWithinPartitions(*keys)
 
 
 def fit_gbt(train_rows: DataFrame, p: GBTParams, with_embedding: bool = True,
@@ -188,9 +192,9 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
     ids = SE.materialize(FE.item_category_ids(items, vocab), "item_ids")
     enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, embed)
     emb = SE.materialize(EM.embed_items(tv, ids, enc), "embedding")
-    # read by the imputer pass and the tree fit: written once, spread over
-    # the cores, lineage cut before the long iterative fit
-    train_rows = SE.materialize(spread(FE.feature_rows(tv, users, items).join(emb, "item_id", "left")),
+    # read by the imputer pass and the tree fit: written once, lineage cut
+    # before the long iterative fit
+    train_rows = SE.materialize(FE.feature_rows(tv, users, items).join(emb, "item_id", "left"),
                                 "model_train_rows")
     model = fit_gbt(train_rows, gbt)
     ku, ki = known_keys(tv)
@@ -198,13 +202,14 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
     scored = score(model, tf)
     out = scored.withColumn("prediction", one_sided(F.col("route"), F.col("model_score")))
     keep = [c for c in tf.columns] + ["model_score", "prediction"]
-    return ModelRun(V, enc, emb, train_rows, model, out.select(*keep))
+    return ModelRun(V, enc, emb, train_rows, model, SE.materialize(out.select(*keep), "model_scored"))
 
 
 def fit_gbt_early_stopping(train_rows: DataFrame, val_rows: DataFrame, p: GBTParams,
                            patience: int = 100, with_embedding: bool = True,
                            label: str = "stars") -> tuple[PipelineModel, int, list]:
-    """Best-round mode: fit ``p.rounds``, score every round on val, refit at the best.
+    """Best-round mode: fit in doubling budgets up to ``p.rounds``, stop once patience is
+    exhausted, refit at the best round.
 
     Spark's ``validationTol`` stops at the first small improvement; this keeps
     the surveyed patience semantics instead.  With the same seed the refit's
@@ -214,13 +219,16 @@ def fit_gbt_early_stopping(train_rows: DataFrame, val_rows: DataFrame, p: GBTPar
 
     from .tune import best_round
 
-    full = fit_gbt(train_rows, p, with_embedding, label)
-    gbt_model = full.stages[-1]
-    pre = PipelineModel(stages=full.stages[:-1])
     cols = feature_columns(with_embedding)
-    val = pre.transform(with_missing_flags(as_double(val_rows, cols)))
-    errors = list(gbt_model.evaluateEachIteration(val, "squared"))
-    b = best_round(errors, patience)
-    if b == p.rounds:
+    val_rows = with_missing_flags(as_double(val_rows, cols))
+    budget = min(p.rounds, 2 * patience)
+    while True:     # the trees of a smaller budget are a prefix of a larger one's
+        full = fit_gbt(train_rows, replace(p, rounds=budget), with_embedding, label)
+        errors = list(full.stages[-1].evaluateEachIteration(PipelineModel(stages=full.stages[:-1]).transform(val_rows), "squared"))
+        b = best_round(errors, patience)
+        if budget == p.rounds or b + patience <= budget:
+            break
+        budget = min(p.rounds, 2 * budget)
+    if b == budget:
         return full, b, errors
     return fit_gbt(train_rows, replace(p, rounds=b), with_embedding, label), b, errors

@@ -73,6 +73,15 @@ def history(r: DataFrame, key: str, other: str) -> DataFrame:
                  F.max(o).alias("max_id"), F.sum(term).cast("bigint").alias("id_checksum")))
 
 
+def members(r: DataFrame, key: str, other: str) -> DataFrame:
+    """The set of ``other`` ids of each ``key``, one (id, member) row each, with the set's size.
+
+    Sets stay rows: the size is a partial aggregate joined back, no array is built.
+    """
+    d = r.select(F.col(key).alias("id"), F.col(other).alias("member")).distinct()
+    return d.join(d.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "id")
+
+
 def known_keys(r: DataFrame, key: str) -> DataFrame:
     """Distinct ids of ``key`` over train and val with membership flags."""
     return (r.where(F.col("split").isin("train", "val"))

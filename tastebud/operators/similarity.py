@@ -24,10 +24,44 @@ from .. import session as SE
 from ..functions import similarity as S
 
 
+#: rows of a key that one block holds, on either side of an expanding join
+BLOCK_ROWS = 512
+
+
+def blocked_join(left: DataFrame, right: DataFrame, on: str, left_by: str, right_by: str,
+                 rows: int = BLOCK_ROWS) -> DataFrame:
+    """Inner join on ``on`` whose hot keys are cut into blocks on both sides.
+
+    A key with more than ``rows`` rows on a side is dealt by hash of that
+    side's ``*_by`` column into blocks of about ``rows`` rows; each block is
+    repeated for the blocks of the other side, so every pair meets exactly
+    once and no (key, block, block) yields much more than ``rows`` ** 2 rows.
+    Other keys are joined as they are.  The partition count is fixed by
+    ``spark.sql.shuffle.partitions``: adaptive execution would judge blocks by
+    their small input and put all of a key's blocks in one task again.
+    """
+    n = max(1, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    count = F.ceil(F.count(F.lit(1)) / rows).cast("int")
+    cut = (left.groupBy(on).agg(count.alias("_lb")).join(right.groupBy(on).agg(count.alias("_rb")), on)
+           .where("_lb > 1 OR _rb > 1"))
+
+    def block(by: str, blocks: str):
+        return F.pmod(F.xxhash64(by), F.coalesce(F.col(blocks), F.lit(1))).cast("int")
+
+    def every(blocks: str):
+        return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(blocks), F.lit(1)) - 1))
+
+    lo = (left.join(cut, on, "left").withColumn("_l", block(left_by, "_lb")).withColumn("_r", every("_rb"))
+          .drop("_lb", "_rb").repartition(n, on, "_l", "_r"))
+    ro = (right.join(cut, on, "left").withColumn("_r", block(right_by, "_rb")).withColumn("_l", every("_lb"))
+          .drop("_lb", "_rb").repartition(n, on, "_l", "_r"))
+    return lo.join(ro, [on, "_l", "_r"]).drop("_l", "_r")
+
+
 def candidate_neighbours(warm_targets: DataFrame, r: DataFrame) -> DataFrame:
-    """Target x the user's deduplicated history (1:n equi-join on user_id)."""
+    """Target x the user's deduplicated history, hot users in blocks."""
     nb = r.select("user_id", F.col("item_id").alias("neighbour_id"), "stars")
-    return warm_targets.select("user_id", "item_id").join(nb, "user_id")
+    return blocked_join(warm_targets.select("user_id", "item_id"), nb, "user_id", "item_id", "neighbour_id")
 
 
 def with_pair_key(df: DataFrame, a: str = "item_id", b: str = "neighbour_id") -> DataFrame:
@@ -64,8 +98,7 @@ def pair_statistics(pairs: DataFrame, r: DataFrame, item_stats: DataFrame,
     # probe, on the few rows that found a co-rater
     rd = r.select(F.col("item_id").alias("drive"), "user_id", F.col("stars").alias("r_d"))
     rp = r.select(F.col("item_id").alias("probe"), "user_id", F.col("stars").alias("r_p"))
-    hits = (p.select("drive", "probe")
-            .join(rd, "drive")
+    hits = (blocked_join(p.select("drive", "probe"), rd, "drive", "probe", "user_id")
             .join(rp, ["probe", "user_id"]))
     d_first = F.col("drive") <= F.col("probe")
     means = item_stats.select("item_id", "mean_stars")

@@ -236,6 +236,36 @@ FROM (SELECT user_id, item_id, stars,
                                 ORDER BY CASE split WHEN 'train' THEN 0 ELSE 1 END, item_id, stars) AS rn
       FROM tv) x
 WHERE rn = 1""")
+_add("first_occurrence_items", PROFILE + """
+SELECT item_id, user_id AS first_user_id, stars AS first_stars
+FROM (SELECT user_id, item_id, stars,
+             row_number() OVER (PARTITION BY item_id
+                                ORDER BY CASE split WHEN 'train' THEN 0 ELSE 1 END, user_id, stars) AS rn
+      FROM tv) x
+WHERE rn = 1""")
+_add("first_by_position", PROFILE + """
+SELECT user_id, item_id AS first_item_id, stars AS first_stars
+FROM (SELECT user_id, item_id, stars,
+             row_number() OVER (PARTITION BY user_id ORDER BY item_id DESC, stars) AS rn
+      FROM tv) x
+WHERE rn = 1""")
+_add("user_history_rows", with_ctes(FX) + """
+SELECT user_id AS id, item_id AS member, count(*) OVER (PARTITION BY user_id) AS n
+FROM (SELECT DISTINCT user_id, item_id FROM train) d""")
+_add("item_raters_rows", with_ctes(FX) + """
+SELECT item_id AS id, user_id AS member, count(*) OVER (PARTITION BY item_id) AS n
+FROM (SELECT DISTINCT user_id, item_id FROM train) d""")
+_add("json_items", with_ctes(FX, ITEMS) + """
+SELECT CAST(item_id AS VARCHAR) AS business_id, stars, CAST(review_count AS INTEGER) AS review_count,
+       CAST(is_open AS INTEGER) AS is_open, categories FROM fx_items""")
+_add("json_users", with_ctes(FX, USERS) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(review_count AS INTEGER) AS review_count, average_stars,
+       CAST(useful AS INTEGER) AS useful, CAST(funny AS INTEGER) AS funny, CAST(cool AS INTEGER) AS cool,
+       CAST(fans AS INTEGER) AS fans FROM fx_users""")
+_add("csv_ratings", with_ctes(FX) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id, stars FROM fx_ratings""")
+_add("csv_targets", with_ctes(FX) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id FROM tg""")
 _add("known_users", with_ctes(FX) + """
 SELECT user_id AS id, bool_or(split = 'train') AS in_train, bool_or(split = 'val') AS in_val
 FROM fx_ratings WHERE split IN ('train', 'val') GROUP BY user_id""")

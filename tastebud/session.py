@@ -9,18 +9,18 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Defaults that matter for every plan in this package.  They are applied with
-# ``setIfMissing`` semantics so a cluster configuration always wins.
+# Defaults of this package.  A key that the launch configuration has, and every
+# key of a session that runs already, stays as it is.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -33,16 +33,22 @@ def build_session(master: str | None = None, app: str = "tastebud",
     cluster.  ``shuffle_partitions`` is the AQE upper bound; AQE coalesces
     small partitions at run time.
     """
+    running = SparkSession.getActiveSession() is not None
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        if master.startswith("local"):
+            b = b.config("spark.ui.enabled", "false")
+    conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {}
+    for k, v in (conf | (extra or {})).items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    if not running:
+        launched = dict(spark.sparkContext.getConf().getAll())
+        for k, v in DEFAULT_CONF.items():
+            if k not in launched:
+                spark.conf.set(k, v)
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -66,6 +72,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 MAX_RECORDS_KEY = "tastebud.materialize.maxRecordsPerFile"
 DEFAULT_MAX_RECORDS = 1_000_000
+_written: list[str] = []
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Remove, at the end, every table that ``materialize`` writes inside.
+
+    Results must have been written or read by then: their plans read those tables.
+    """
+    first = len(_written)
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _written[first:]:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        del _written[first:]
 
 
 def materialize(df, name: str):
@@ -84,6 +108,7 @@ def materialize(df, name: str):
     # bounded file size so readers get enough, even splits (a file with one
     # row group is one read task); no extra shuffle is added for this
     per_file = spark.conf.get(MAX_RECORDS_KEY, str(DEFAULT_MAX_RECORDS))
+    _written.append(path)
     df.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
     return spark.read.parquet(path)
 

@@ -1,45 +1,71 @@
 """File sources: rating/target CSVs, profile JSON lines, numeric matrices.
 
-Every reader takes an explicit schema (no inference pass over the data) and
-returns DataFrames with the package's column names.
+Readers never infer types and fail on malformed input.  CSV files are read by
+position: fields beyond the ones needed are ignored, and an empty id is the
+empty string, not null.  The JSON schemas and options also parse lines that
+come from a table (``parse_json``), as the CSV rules do (``parse_fields``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schemas
 
+STRICT = {"mode": "FAILFAST"}
+
+
+def strict_double(c: Column) -> Column:
+    """The number, null for null or empty; anything else stops the job."""
+    number = c.try_cast("double")
+    bad = F.raise_error(F.concat(F.lit("not a number: "), c)).cast("double")
+    return F.when(c.isNull() | (F.trim(c) == ""), F.lit(None).cast("double")).otherwise(F.coalesce(number, bad))
+
+
+def parse_fields(fields: list[Column], names: list[str], number: str | None = None) -> list[Column]:
+    """The first fields under their names: ids as strings, ``number`` as double."""
+    return [(strict_double(c) if n == number else F.coalesce(c, F.lit(""))).alias(n) for c, n in zip(fields, names)]
+
+
+def parse_json(lines: Column, schema: T.StructType) -> Column:
+    return F.from_json(lines, schema, STRICT)
+
+
+def _by_position(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).csv(path)
+
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """Labelled rating CSV with a header line: user_id, item_id, stars."""
-    return (spark.read.schema(schemas.RATING)
-            .option("header", True).option("mode", "FAILFAST")
-            .csv(path))
+    raw = _by_position(spark, path)
+    return raw.select(*parse_fields([F.col(f"`{c}`") for c in raw.columns[:3]], ["user_id", "item_id", "stars"], "stars"))
 
 
-def read_targets(spark: SparkSession, path: str) -> DataFrame:
-    """Target-pair CSV with a header line; columns past the second are ignored."""
-    raw = spark.read.option("header", True).csv(path)
-    c = raw.columns
-    return raw.select(F.col(c[0]).alias("user_id"), F.col(c[1]).alias("item_id"))
+def read_targets(spark: SparkSession, path: str, place: bool = False) -> DataFrame:
+    """Target-pair CSV with a header line; ``place`` adds file, block and row, which order several files' lines."""
+    raw = _by_position(spark, path)
+    cols = parse_fields([F.col(f"`{c}`") for c in raw.columns[:2]], ["user_id", "item_id"])
+    if place:
+        cols += [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("target_id")]
+    return raw.select(*cols)
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Item profiles, one JSON object per line."""
-    return (spark.read.schema(schemas.ITEM_JSON).json(path)
+    return (spark.read.schema(schemas.ITEM_JSON).options(**STRICT).json(path)
             .withColumnRenamed("business_id", "item_id"))
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
     """User profiles, one JSON object per line."""
-    return spark.read.schema(schemas.USER_JSON).json(path)
+    return spark.read.schema(schemas.USER_JSON).options(**STRICT).json(path)
 
 
 def read_matrix(spark: SparkSession, path: str, columns: list[str],
                 header: bool = True) -> DataFrame:
     """All-double numeric CSV (feature matrices written by other tools)."""
     schema = T.StructType([T.StructField(c, T.DoubleType(), True) for c in columns])
-    return spark.read.schema(schema).option("header", header).csv(path)
+    return spark.read.schema(schema).options(**STRICT).option("header", header).csv(path)

@@ -15,24 +15,28 @@ from pyspark.sql import functions as F
 PREDICTION_HEADER = "user_id, business_id, prediction"
 
 
+def _line():
+    fields = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "item_id", "prediction"))
+    return F.concat_ws(",", *fields).alias("line")
+
+
 def prediction_lines(pred: DataFrame) -> DataFrame:
-    """One ``line`` column: user,item,prediction."""
-    return pred.select(F.concat_ws(",", F.col("user_id").cast("string"),
-                                   F.col("item_id").cast("string"),
-                                   F.col("prediction").cast("string")).alias("line"))
+    """One ``line`` column: user,item,prediction; a missing field is empty, never left out."""
+    return pred.select(_line())
 
 
-def write_predictions(pred: DataFrame, path: str, order_col: str | None = None) -> None:
-    """Write a prediction CSV folder (text lines, header first).
+def write_predictions(pred: DataFrame, path: str, order_col: str | list[str] | None = None) -> None:
+    """Write a prediction folder of text lines: one header, at the start of the first file.
 
-    With ``order_col`` the file order follows it (a range-partitioned sort,
-    not a single-task sort).
+    With ``order_col`` (one or several) the file order follows it (a range-partitioned sort, not
+    a single-task sort); the header's nulls sort first.
     """
-    df = pred.orderBy(order_col) if order_col else pred
-    lines = prediction_lines(df).withColumnRenamed("line", PREDICTION_HEADER)
-    # one text column; a tab separator means the commas inside a line never
-    # trigger CSV quoting
-    lines.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
+    order = [order_col] if isinstance(order_col, str) else order_col or []
+    lines = pred.select(*order, _line())
+    head = pred.sparkSession.range(1).select(
+        *(F.lit(None).cast(pred.schema[c].dataType).alias(c) for c in order), F.lit(PREDICTION_HEADER).alias("line"))
+    out = head.unionByName(lines)
+    (out.orderBy(*order) if order else out).select("line").write.mode("overwrite").text(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
