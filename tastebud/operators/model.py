@@ -12,6 +12,7 @@ alignment of rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -133,15 +134,21 @@ def as_double(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-#: partitions of the trees' input.  Rows are drawn by seed and partition, so the
-#: count is fixed: the fitted model is the same on every cluster.
-TREE_PARTITIONS = 32
+#: rows of a partition of the trees' input.  Rows are drawn by seed and
+#: partition, so the count comes from the rows alone: the fitted model is the
+#: same on every cluster.
+TREE_ROWS = 100_000
+
+
+def tree_partitions(rows: int) -> int:
+    """A multiple of 8, about TREE_ROWS rows each."""
+    return 8 * max(1, math.ceil(rows / (8 * TREE_ROWS)))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt by key into TREE_PARTITIONS, ordered within each."""
+    """Rows of a written table dealt by key into a number of partitions that they decide, ordered within each."""
     keys = [c for c in ("user_id", "item_id", "stars") if c in df.columns]
-    return df.repartition(TREE_PARTITIONS, *keys[:2]).sortWithinPartitions(*keys)
+    return df.repartition(tree_partitions(df.count()), *keys[:2]).sortWithinPartitions(*keys)
 
 
 def fit_gbt(train_rows: DataFrame, p: GBTParams, with_embedding: bool = True,
