@@ -12,7 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.session import materialize, ship_package
+from tastebud import session
+from tastebud.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,6 +24,18 @@ __all__ = ["WORD", "WordHashes", "connected_components", "held_out", "lower_az",
            "rolling", "ship_package", "table", "words_of"]
 
 
+#: rows sent to a Python worker at once, unless the launch configuration sets it: whole texts are long
+BATCH_ROWS = "1000"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable on Python workers, and keep their batches of texts small."""
+    session.ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if key not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

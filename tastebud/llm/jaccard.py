@@ -41,7 +41,7 @@ FLAG_BITS, CLASS_BITS = 27, 24      # fixed-size tables: 16 MB of bits, 16 MB of
 RANGES = 10                         # 2**RANGES hash ranges, counted apart
 SKETCH_WORDS = 16                   # 1,024 parity bits a set
 LARGEST_BOUNDARY = 30               # sizes that may enumerate subsets
-BUFFER = 2_000_000                  # shingles counted together by one map task
+BUFFER = 1_000_000                  # shingles counted together by one map task
 
 
 def shingle_set(text: bytes | None, width: int, memo: WordHashes) -> np.ndarray:
