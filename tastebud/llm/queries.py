@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, lm, mixing, pii, quality, rules, secrets, urls
+from . import chat, decontam, jaccard, lm, mixing, oracle, pii, quality, rules, secrets, urls
 from .common import held_out, table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -75,4 +75,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix, op2_lm_score, op3_jaccard, op4_chat, op5_pii, op6_rules, op7_urls, op8_secrets, op9_decontam, op10_quality)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_jaccard": oracle.OP3, "op4_chat": oracle.OP4, "op6_rules": oracle.OP6, "op7_urls": oracle.url_rules(URL_RULES)}
