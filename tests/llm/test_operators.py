@@ -108,15 +108,18 @@ def test_lattice_sums_all_segmentations_and_counts_them():
     logp = np.array([own[p] for p in names] + [-1.0])
     lattice = lm.Lattice(names, logp)
     for w in [b"the", b"thande", b"and", "ä".encode(), b"x" * 60]:
-        got = lattice.run([w])[0][0]
+        got = lattice.logs([w])[0, 0]
         if len(w) < 20:
             assert math.isclose(got, math.log(all_segmentations(b" " + w, own)) - 1.0, rel_tol=1e-9)
         assert math.isclose(lattice._long(b" " + w) - 1.0, got, rel_tol=1e-9)
-    base, counts = lattice.run([b"thande"], np.ones(1))
+    base, counts = lattice.logs([b"thande"])[0, 0], lattice.expect([b"thande"], np.ones((1, 1)))[0]
     up = logp.copy()
     k = names.index(b"an")
     up[k] += 1e-6       # expected counts are the gradient of the log probability
-    assert math.isclose((lm.Lattice(names, up).run([b"thande"])[0][0] - base[0]) / 1e-6, counts[k], rel_tol=1e-3)
+    assert math.isclose((lattice.logs([b"thande"], [logp, up])[0, 1] - base) / 1e-6, counts[k], rel_tol=1e-3)
+    two = lattice.expect([b"thande", b"the", b"x" * 60], np.array([[1, 0], [0, 1], [1, 1]]))    # a row a class
+    for z, own in enumerate(([b"thande", b"x" * 60], [b"the", b"x" * 60])):
+        assert np.allclose(two[z], sum(lattice.expect([w], np.ones((1, 1)))[0] for w in own))
 
 
 def test_scores_against_brute_force(spark, odd, empty):
@@ -135,15 +138,43 @@ def test_scores_against_brute_force(spark, odd, empty):
     assert lm.lattice_scores(empty, held_out(empty["doc_id"], 7, 2), pieces()).count() == 0
 
 
-def test_probabilities_of_words_sum_below_one(spark):
-    docs = spark.createDataFrame([(i, t, "", "", 0, 0, "", 0, 0.0) for i, t in enumerate(["a b", "a", "ab ba", "b"])], DOCS)
+@pytest.mark.parametrize("langs", ["----", "xyxy"])
+def test_probabilities_of_words_sum_below_one(spark, langs):
+    docs = spark.createDataFrame([(i, t, langs[i], "", 0, 0, "", 0, 0.0) for i, t in enumerate(["a b", "a", "ab ba", "b"])], DOCS)
     tests = spark.createDataFrame([(-1 - i, w, "", "", 0, 0, "", 0, 0.0) for i, w in enumerate(["a", "b", "ab", "ba", "aa", "bb", "c", "abc"])], DOCS)
     both = docs.unionByName(tests)
     got = lm.lattice_scores(both, both["doc_id"] < 0, pieces(), rounds=1).filter("doc_id < 0").collect()
-    end = math.log10(5 / (10 + 2))
+    end = math.log10(5 / (10 + 2)) if langs == "----" else math.log10(3 / (4 + 2))     # of the class that ends most readily
     assert sum(10 ** (r["score"] - end) for r in got) < 1
 
 
+def test_word_probabilities_of_a_class_sum_to_one():
+    import numpy as np
+
+    counts = np.array([[5, 0], [1, 3], [2, 0], [0, 2]])
+    stats = lm.Words(13, 0.5, 0.5 * 4 + 1, 0.2, np.array([8 + 2, 5 + 1]), np.array([0.4, 0.6]), np.array([0.4 * 3 + 1, 0.6 * 2 + 1]))
+    spelled = np.log(np.array([[0.1, 0.2], [0.3, 0.1], [0.2, 0.2], [0.1, 0.1], [0.3, 0.4]]))      # every word there is
+    got = (10 ** stats.logs(np.vstack([counts, [0, 0]]), spelled)).sum(axis=0)
+    assert np.allclose(got + np.array([3 / 12, 2 / 8]), 1)      # an end: its rows and one
+
+
+def test_classes_beyond_the_last_share_one_and_beat_one_lattice(spark, monkeypatch):
+    rng = random.Random(5)
+    own = {lang: words(rng, 40) for lang in "abc"}
+    rows = [(i, " ".join(rng.choices(own["abc"[i % 3]], k=30)), "abc"[i % 3], "", 0, 0, "", 0, 0.0) for i in range(120)]
+    docs = spark.createDataFrame(rows, DOCS)
+
+    def mean():
+        got = lm.lattice_scores(docs, held_out(docs["doc_id"], 7, 2), pieces()).filter("held_out").collect()
+        return sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got)
+
+    three = mean()
+    monkeypatch.setattr(lm, "CLASSES", 2)
+    two = mean()
+    monkeypatch.setattr(lm, "CLASSES", 1)
+    assert three > two > mean()
+
+
 # ---------------------------------------------------------------- Jaccard join
 def components(rows: list[tuple], width: int, percent: int) -> list[tuple]:
     sets = []
