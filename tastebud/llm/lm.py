@@ -54,7 +54,7 @@ BLOCK = 4_000           # words in a block
 CHUNK = 120_000         # words sorted into blocks together
 TASK_WORDS = 300_000    # distinct words counted together by one map task
 CLASSES = 8             # lattices that a text's probability is summed over
-SHARED = 0.2            # part of a class's discounts that goes to the words of all classes
+SHARED = 0.05           # part of a class's discounts that goes to the words of all classes
 CLASS_PRIOR = 500.0     # weight, in pieces, of the common scores in a class's
 NONE = -1e30
 
