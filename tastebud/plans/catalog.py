@@ -375,6 +375,21 @@ def category_embed(spark, sf_dir):
     return EM.embed_items(tv, ids, enc)
 
 
+@query
+def embed_by_rule(spark, sf_dir):
+    """The embedding's transform with weights that a rule gives (eighths, so sums are exact)."""
+    import numpy as np
+
+    from ..operators import embed as EM
+    r = FX.ratings(spark, sf_dir)
+    items = FX.items(spark, sf_dir, r)
+    vocab = FE.category_vocab(items)
+    V, d = vocab.count(), len(MO.EMBED_COLS)
+    W = (np.add.outer(7 * np.arange(V), 3 * np.arange(d)) % 11 - 5) / 8
+    enc = EM.Encoder(W, np.arange(d) / 8, np.zeros((d, V)), np.zeros(V))
+    return EM.embed_items(_tv(r), FE.item_category_ids(items, vocab), enc)
+
+
 @query
 def category_embed_pca(spark, sf_dir):
     """The PCA option of the category embedding (16 components)."""
@@ -404,6 +419,16 @@ def gbt_predict(spark, sf_dir):
     return t.select("user_id", "item_id", F.round("prediction", 6).alias("prediction"), "route")
 
 
+@query
+def gbt_unscored_routes(spark, sf_dir):
+    """Targets that need no trees: one key known, or neither."""
+    r = FX.ratings(spark, sf_dir)
+    tf = MO.target_features(_model_routed(r), FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r))
+    score = MO.one_sided(F.col("route"), F.lit(None).cast("double"))
+    return (tf.where(F.col("route") != "both")
+            .select("user_id", "item_id", F.round(score, 6).alias("prediction"), "route"))
+
+
 @query
 def gbt_rmse(spark, sf_dir):
     return EV.rmse(_model_run(spark, sf_dir).targets, "prediction", "label")

@@ -310,6 +310,16 @@ _add("model_routes", with_ctes(FX, USERS, ITEMS, CATS, MODEL) + "SELECT route, c
 _add("target_features", with_ctes(FX, USERS, ITEMS, CATS, MODEL) + """
 SELECT user_id, item_id, label, route, review_count, average_stars, useful, funny, cool, fans,
        item_stars, item_review_count, is_open FROM tf""")
+_add("embed_by_rule", PROFILE + f"""
+SELECT t.item_id, {", ".join(f"CAST(coalesce(sum((v.category_id * 7 + {3 * k}) % 11 - 5), 0) / 8.0 + {k / 8} AS DOUBLE) AS e{k}" for k in range(16))}
+FROM (SELECT DISTINCT item_id FROM tv) t LEFT JOIN ic ON ic.item_id = t.item_id
+LEFT JOIN vocab v ON v.category = ic.category GROUP BY t.item_id""")
+_add("gbt_unscored_routes", with_ctes(FX, USERS, ITEMS, CATS, MODEL) + """
+SELECT user_id, item_id, route,
+       round(CASE route WHEN 'user_only' THEN coalesce(average_stars, CAST(3.75 AS DOUBLE))
+                        WHEN 'item_only' THEN coalesce(item_stars, CAST(3.75 AS DOUBLE))
+                        ELSE CAST(3.75 AS DOUBLE) END, 6) AS prediction
+FROM tf WHERE route <> 'both'""")
 _add("hybrid_blend", with_ctes(FX, USERS, ITEMS, CATS, MODEL, CF) + """
 , hb AS (
   SELECT tf.user_id, tf.item_id, tf.route, c.pred_raw AS cf, c.n_neighbours,
