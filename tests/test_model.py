@@ -24,16 +24,37 @@ def fixture(spark):
     return r, users, items, vocab.count(), ids, tv
 
 
+def marginal_loss(sets, vocab_size: int) -> float:
+    """Loss of the best constant predictor (per-category frequency): a baseline."""
+    V = int(vocab_size)
+    e = sets.select(F.explode("ids").alias("k"), "weight")
+    tot = float(sets.agg(F.sum("weight")).first()[0])
+    freq = np.zeros(V)
+    for row in e.groupBy("k").agg(F.sum("weight").alias("w")).collect():   # V rows at most
+        freq[int(row["k"])] = row["w"] / tot
+    f = np.clip(freq, 1e-12, 1 - 1e-12)
+    return float(np.mean(-(f * np.log(f) + (1 - f) * np.log(1 - f))))
+
+
+def embed_numpy(ids_list, enc) -> np.ndarray:
+    """Reference form of the transform for tests: x W + b per id list."""
+    out = np.tile(enc.b, (len(ids_list), 1))
+    for r, ids in enumerate(ids_list):
+        if len(ids):
+            out[r] += enc.W[np.asarray(ids, dtype=np.int64)].sum(axis=0)
+    return out
+
+
 def test_embedding_learns_and_sql_transform_matches_numpy(spark, fixture):
     r, users, items, V, ids, tv = fixture
     sets = EM.training_sets(tv, ids)
     enc = EM.fit_autoencoder(sets, V, EM.EmbedParams(steps=25, lr=0.1))
     assert enc.losses[-1] < enc.losses[0]
-    assert enc.losses[-1] < EM.marginal_loss(sets, V)
+    assert enc.losses[-1] < marginal_loss(sets, V)
     emb = {row.item_id: [row[f"e{k}"] for k in range(16)] for row in EM.embed_items(tv, ids, enc).collect()}
     id_map = {row.item_id: (row.ids or []) for row in ids.collect()}
     keys = sorted(emb)[:50]
-    ref = EM.embed_numpy([id_map.get(k, []) for k in keys], enc)
+    ref = embed_numpy([id_map.get(k, []) for k in keys], enc)
     assert np.allclose(np.array([emb[k] for k in keys]), ref, atol=1e-9)
 
 
