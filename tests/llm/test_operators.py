@@ -467,6 +467,35 @@ def test_copies_are_found_and_clean_texts_left(spark, odd, empty):
     assert decontam.contaminated(empty, bench).count() == 0 and decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_edited_copies_are_those_of_all_pairs(spark):
+    """10 to 40 % of the words edited, and one exact copy beside the only edited one."""
+    rng = random.Random(12)
+    items = [(k, words(rng, 40)) for k in range(6)]
+    docs = []
+    for d in range(60):
+        copy = list(items[d % 6][1])
+        for i in rng.sample(range(40), 4 + d % 13):
+            copy[i] = [f"new{d}"] if d % 4 == 0 else [] if d % 4 == 1 else [copy[i], "more"] if d % 4 == 2 else [rng.choice(items[0][1])]
+        docs.append((d, words(rng, 30) + [w for x in copy for w in ([x] if isinstance(x, str) else x)] + words(rng, 30)))
+    items += [(6, words(rng, 40)), (7, ["été", "straße", "école"] * 4)]
+    spread = list(items[6][1])
+    spread[3::7] = ["other"] * len(spread[3::7])      # breaks more than half of the 4-grams
+    docs += [(100, words(rng, 20) + items[6][1]), (101, words(rng, 20) + spread), (102, [w.upper() for w in ["été", "école"]] * 6)]
+    docs += [(103, [x for w in items[6][1] for x in (w, "between")])]    # no two words of the item stand together
+    want = {}
+    for d, doc in docs:
+        for k, item in items:
+            score = brute_alignment(item, [w.lower() for w in doc]) / (2 * len(item))
+            if score >= 0.5:
+                want[d, k] = score
+    assert {(100, 6), (101, 6), (102, 7), (103, 6)} <= set(want) and len(want) > 30
+    df = spark.createDataFrame([(d, " ".join(doc)) for d, doc in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in items], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in decontam.contaminated(df, bench).collect()} == want
+    kept = {r["doc_id"] for r in decontam.decontaminated(df, bench).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in want}
+
+
 # ---------------------------------------------------------------- quality
 def test_quality_learns_and_scores_odd_rows(spark, odd, empty):
     rng = random.Random(11)
