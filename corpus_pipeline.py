@@ -11,7 +11,8 @@ columns of ``documents``; the last adds the mixture's counts.
   with the smallest id stays.
 * decontamination: documents that hold a benchmark item, edited or not, go.
 * secrets: every span is replaced by ``[SECRET]`` in ``text``; ``n_chars`` follows.
-* mixture: documents that the mix takes at least once stay, with ``taken`` words.
+* mixture: documents that the mix takes at least once stay, with ``taken`` words;
+  one without words too, where the mix takes its row (0 words).
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs).filter("taken > 0")
+    return mixing.mixed(docs).filter("copies > 0").drop("copies")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -102,7 +102,7 @@ def thresholds(rows: DataFrame, budgets: list[tuple[int, str | None, float]]) ->
 
 def mixed(docs: DataFrame, shares: Sequence[float] = (1.0,), weights: dict[str | None, float] | None = None,
           most: float = 3.0) -> DataFrame:
-    """``docs`` with size, source_size, target and taken; one pair target_k, taken_k for each further share.
+    """``docs`` with size, source_size, target, copies (times taken) and taken (words); target_k, copies_k, taken_k for each further share.
 
     A share is a budget: that part of all words of ``docs``.  ``weights`` are
     ``cyclic_weights`` unless given.
@@ -123,5 +123,6 @@ def mixed(docs: DataFrame, shares: Sequence[float] = (1.0,), weights: dict[str |
     for k in range(len(goal)):
         tail = f"_{k}" if k else ""
         new["target" + tail] = F.col("_target")[k]
-        new["taken" + tail] = F.col("size") * (F.col("_copies")[k] + F.when(F.col("_u") < F.col("_below")[k], 1).otherwise(0))
+        new["copies" + tail] = F.col("_copies")[k] + F.when(F.col("_u") < F.col("_below")[k], 1).otherwise(0)
+        new["taken" + tail] = F.col("size") * new["copies" + tail]
     return out.withColumns(new).drop("_u", "_s", "_n", "_target", "_copies", "_below")

@@ -66,3 +66,15 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(40), SMALL).columns == docs.columns
     assert quality.BITS <= 20
+
+
+def test_mixture_keeps_texts_without_words_by_their_copies(spark):
+    line = "one two three four five"
+    rows = [(k, line, source) for source, first in (("a", 0), ("b", 100), ("c", 200)) for k in range(first, first + 20)]
+    none = [(first + 50 + i, text, source) for source, first in (("b", 100), ("c", 200)) for i, text in enumerate((None, "", " \t"))]
+    docs = spark.createDataFrame(rows + none, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in corpus_pipeline.mixture(spark, docs, SMALL).collect()}
+    # targets are 50, 100 and 150 of 100 words each: every row of b and c is taken once or more, half of a's
+    assert {i for i in got if i >= 100} == {i for i, _, s in rows + none if s != "a"}
+    assert all(got[i]["taken"] == 0 for i, _, _ in none) and sum(i < 100 for i in got) == 10
+    assert got[100].asDict().keys() == {"doc_id", "text", "source", "size", "source_size", "target", "taken"}
