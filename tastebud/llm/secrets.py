@@ -48,6 +48,7 @@ EDGES = "\"'`()[]{}<>,;:.!?#$%&*|="
 KEYWORDS = ("pass", "secret", "token", "key", "pwd", "auth", "cred")
 KEYWORD, LETTERS_HEX = re.compile("|".join(KEYWORDS)), re.compile("[a-fA-F]+")
 WINDOW = 6          # words kept on both sides of an odd word for training
+OTHERS = 40         # odd words outside the rules' spans that one text gives to training, by hash
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -164,13 +165,15 @@ def tagged(text: str) -> tuple[list[str], list[int], list[tuple[int, int]]]:
 
 
 def train(texts: list[str], epochs: int = 4, rate: float = 0.1, seed: int = 5) -> Field:
-    """Fit on windows around tagged words and around other words with digits or signs."""
+    """Fit on windows around every tagged word, OTHERS other words with digits or signs a text, and two places of any kind."""
     field, rng, seqs = Field(), np.random.default_rng(seed), []
     for text in texts:
         words, tags, _ = tagged(text)
-        odd = [i for i, (w, t) in enumerate(zip(words, tags, strict=True)) if t or re.search(r"[0-9=@:_]", w)]
+        odd = [i for i, (w, t) in enumerate(zip(words, tags, strict=True)) if not t and re.search(r"[0-9=@:_]", w)]
+        odd = sorted(odd, key=lambda i: xxhash.xxh64_intdigest(f"{i} {words[i]}"))[:OTHERS]
+        odd = sorted(odd + [i for i, t in enumerate(tags) if t])
         doc = slots(text_features(text), "doc")
-        cuts = odd[:40] + list(rng.integers(0, len(words), min(2, len(words))))
+        cuts = odd + list(rng.integers(0, len(words), min(2, len(words))))
         for i in cuts:
             a, z = max(0, int(i) - WINDOW), min(len(words), int(i) + WINDOW + 1)
             seqs.append((field.rows(words[a:z], doc), tags[a:z]))

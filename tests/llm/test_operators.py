@@ -395,6 +395,19 @@ def test_secrets_base_and_field(spark, odd, empty):
     assert "[SECRET]" in clean[0]["text"] and "password=" not in clean[0]["text"] and clean[1]["text"] is None and clean[2]["text"] == plain
 
 
+def test_training_sees_every_tagged_word(monkeypatch):
+    rng = random.Random(13)
+    text = " ".join([f"n{k}" for k in range(300)] + [f"AKIA{rng.randrange(10**14):014d} and so on then" for _ in range(60)])
+    seen: list[str] = []
+    rows = secrets.Field.rows
+    monkeypatch.setattr(secrets.Field, "rows", lambda self, w, doc: seen.append(w) or rows(self, w, doc))
+    secrets.train([text], epochs=1)
+    keys = {w for w in text.split() if w.startswith("AKIA")}
+    assert len(keys) == 60 and keys <= {w for window in seen for w in window}
+    assert len(seen) == 60 + secrets.OTHERS + 2
+    assert any("n290" < w for window in seen[:40] for w in window if w[0] == "n" and len(w) == 4)     # not a prefix of the text
+
+
 def test_pruned_decoding_is_the_best_sequence():
     import numpy as np
 
