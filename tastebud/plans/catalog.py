@@ -338,15 +338,25 @@ def hybrid_blend(spark, sf_dir):
 
 # ---------------------------------------------------------------- model-based, hybrid
 # One fit serves every query of a session over the same tables: 383 rounds and
-# the embedding are the library's settings, paid once.
-_RUNS: dict[tuple, object] = {}
+# the embedding are the library's settings, paid once.  Tables are the same
+# while no file below the folder differs in path, size or time.
+_RUNS: dict[tuple, tuple] = {}
+
+
+def _files(spark, sf_dir):
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found, out = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
 
 
 def _once(kind, spark, sf_dir, make):
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _RUNS:
-        _RUNS[key] = make()
-    return _RUNS[key]
+    key, files = (kind, spark.sparkContext.applicationId, sf_dir), _files(spark, sf_dir)
+    if key not in _RUNS or _RUNS[key][0] != files:
+        _RUNS[key] = files, make()
+    return _RUNS[key][1]
 
 
 def _model_run(spark, sf_dir):

@@ -142,3 +142,17 @@ def test_pca_embedding(spark, fixture):
     e = EM.embed_pca(tv, ids, V, k=4)
     assert e.columns == ["item_id", "e0", "e1", "e2", "e3"]
     assert e.count() == tv.select("item_id").distinct().count()
+
+
+def test_a_fit_is_shared_until_its_tables_change(spark, tmp_path):
+    from tastebud.plans import catalog
+
+    made: list[int] = []
+
+    def once() -> int:
+        return catalog._once("shared", spark, str(tmp_path), lambda: made.append(1) or len(made))
+
+    spark.range(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert once() == once() == 1
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    assert once() == once() == 2
