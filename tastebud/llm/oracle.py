@@ -117,3 +117,60 @@ best AS (
   FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, rules.p) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(verdict, '{default}') AS verdict FROM p LEFT JOIN best USING (r)
 """
+
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+whole AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS occurrences FROM d WHERE len(t) > 0),
+held AS (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d),
+tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM held
+       WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+scored AS (
+  SELECT q.item_id, tf.r, any_value(tf.doc_id) AS doc_id,
+         sum(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // occurrences))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) CROSS JOIN whole GROUP BY q.item_id, tf.r),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+def centroid_rounds(k: int = 8, rounds: int = 10, seed: int = 3) -> str:
+    """All distances of every round, as long rows (vector, component)."""
+    def assigned(r: int) -> str:
+        return f"""
+a{r} AS MATERIALIZED (
+  SELECT r, min(struct_pack(d := d, c := c)) AS best FROM (
+    SELECT p.r, c.c, sum((p.x - c.x) * (p.x - c.x))::BIGINT AS d FROM p JOIN c{r} c ON c.i = p.i GROUP BY p.r, c.c)
+  GROUP BY r)"""
+
+    def moved(r: int) -> str:
+        return f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT o.c, o.i, coalesce(m.x, o.x) AS x FROM c{r} o LEFT JOIN (
+    SELECT c, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS x FROM (
+      SELECT a.best.c AS c, p.i, sum(p.x) AS s, count(*) AS n FROM a{r} a JOIN p ON p.r = a.r GROUP BY a.best.c, p.i)) m
+  ON m.c = o.c AND m.i = o.i)"""
+
+    steps = [text for r in range(rounds) for text in (assigned(r), moved(r))]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+p AS MATERIALIZED (SELECT r, unnest(range(64)) AS i, unnest(v) AS x FROM v),
+f AS (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), vec_id, v) - 1 AS c, v FROM v QUALIFY c < {k}),
+c0 AS MATERIALIZED (SELECT c, unnest(range(64)) AS i, unnest(v) AS x FROM f),{",".join(steps)},{assigned(rounds)},
+told AS (SELECT best.c AS c, sum(best.d)::BIGINT AS s FROM a{rounds} GROUP BY best.c),
+named AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c)
+SELECT v.vec_id, a.best.c::INT AS cluster, a.best.d AS distance, told.s AS cluster_inertia,
+       (SELECT sum(s)::BIGINT FROM told) AS inertia, named.h AS centroid_sha256
+FROM a{rounds} a JOIN v ON v.r = a.r JOIN told ON told.c = a.best.c JOIN named ON named.c = a.best.c
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, lm, mixing, oracle, pii, quality, rules, secrets, urls
+from . import centroids, chat, decontam, jaccard, lm, mixing, oracle, pii, quality, ranked, rules, secrets, simhash, urls
 from .common import held_out, table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -72,8 +72,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, table(spark, sf_dir, "labels"), held_out(docs["doc_id"], 3, 1))
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), width=4, radius=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix, op2_lm_score, op3_jaccard, op4_chat, op5_pii, op6_rules, op7_urls, op8_secrets, op9_decontam, op10_quality)}
+    f.__name__: f for f in (op1_mix, op2_lm_score, op3_jaccard, op4_chat, op5_pii, op6_rules, op7_urls, op8_secrets, op9_decontam, op10_quality,
+                                     op11_ranked, op12_centroids, op13_simhash)}
 
 ORACLE_SQL: dict[str, str] = {
-    "op3_jaccard": oracle.OP3, "op4_chat": oracle.OP4, "op6_rules": oracle.OP6, "op7_urls": oracle.url_rules(URL_RULES)}
+    "op3_jaccard": oracle.OP3, "op4_chat": oracle.OP4, "op6_rules": oracle.OP6, "op7_urls": oracle.url_rules(URL_RULES),
+    "op11_ranked": oracle.OP11, "op12_centroids": oracle.centroid_rounds()}
