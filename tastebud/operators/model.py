@@ -12,17 +12,14 @@ alignment of rows.
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import routes as RT
 from ..sources.schemas import BASE_FEATURES, EMBED_DIM
+from . import boost as BO
 from . import features as FE
 
 EMBED_COLS = [f"e{k}" for k in range(EMBED_DIM)]
@@ -78,90 +75,30 @@ def profile_score():
 
 
 # ---------------------------------------------------------------- boosted trees
-@dataclass
-class GBTParams:
-    """Boosted-tree settings (defaults: the surveyed tuned values).
-
-    Spark's learner has no L2 leaf penalty and grows trees level by level;
-    ``feature_subset`` is drawn per node.
-    """
-    # The surveyed tuned settings.
-    rounds: int = 383
-    step_size: float = 0.06
-    max_depth: int = 7
-    subsample: float = 0.8826063703166193
-    feature_subset: float = 0.8344140741655501
-    max_bins: int = 256
-    min_instances: int = 1
-    seed: int = 7
-    # Spark's default node-statistics budget: depth 7 needs ~11 MB per level
-    max_memory_mb: int = 256
-    # no node-id cache: at depth 7 its per-round checkpoint writes cost more
-    # than recomputing node ids (10 rounds at sf0.1: 12.3 s -> 7.3 s)
-    cache_node_ids: bool = False
-    extra: dict = field(default_factory=dict)
+GBTParams = BO.BoostParams
 
 
 def feature_columns(with_embedding: bool = True) -> list[str]:
     return BASE_FEATURES + (EMBED_COLS if with_embedding else [])
 
 
-def gbt_pipeline(p: GBTParams, cols: list[str], label: str = "stars") -> Pipeline:
-    """Imputer (median, with missing flags) -> assembler -> GBTRegressor.
-
-    Tree learners reject NaN and the assembler rejects nulls, so missing
-    profile values are imputed and flagged instead of failing the fit.
-    """
-    imp_out = [f"{c}_imp" for c in cols]
-    imputer = Imputer(strategy="median", inputCols=cols, outputCols=imp_out)
-    asm = VectorAssembler(inputCols=imp_out + ["user_missing", "item_missing"],
-                          outputCol="features", handleInvalid="error")
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="model_score",
-                       maxIter=p.rounds, stepSize=p.step_size, maxDepth=p.max_depth,
-                       subsamplingRate=p.subsample, featureSubsetStrategy=str(p.feature_subset),
-                       maxBins=p.max_bins, minInstancesPerNode=p.min_instances,
-                       lossType="squared", seed=p.seed, cacheNodeIds=p.cache_node_ids,
-                       maxMemoryInMB=p.max_memory_mb, checkpointInterval=10, **p.extra)
-    return Pipeline(stages=[imputer, asm, gbt])
-
-
-def with_missing_flags(df: DataFrame) -> DataFrame:
-    """Flags of a missing user / item profile (before imputation)."""
-    return (df.withColumn("user_missing", F.col("average_stars").isNull().cast("double"))
-            .withColumn("item_missing", F.col("item_stars").isNull().cast("double")))
-
-
-def as_double(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
-#: rows of a partition of the trees' input.  Rows are drawn by seed and
-#: partition, so the count comes from the rows alone: the fitted model is the
-#: same on every cluster.
-TREE_ROWS = 100_000
-
-
-def tree_partitions(rows: int) -> int:
-    """A multiple of 8, about TREE_ROWS rows each."""
-    return 8 * max(1, math.ceil(rows / (8 * TREE_ROWS)))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a written table dealt by key into a number of partitions that they decide, ordered within each."""
-    keys = [c for c in ("user_id", "item_id", "stars") if c in df.columns]
-    return df.repartition(tree_partitions(df.count()), *keys[:2]).sortWithinPartitions(*keys)
+def tree_table(rows: DataFrame, with_embedding: bool = True, label: str = "stars", train: str | None = None,
+               max_bins: int = 256) -> BO.Binned:
+    """Binned feature rows; a row's key and label decide its draws.  Missing profiles stay missing."""
+    keys = [c for c in ("user_id", "item_id", label) if c in rows.columns]
+    return BO.binned_table(rows, feature_columns(with_embedding), keys, label, train, max_bins)
 
 
-def fit_gbt(train_rows: DataFrame, p: GBTParams, with_embedding: bool = True,
-            label: str = "stars") -> PipelineModel:
-    cols = feature_columns(with_embedding)
-    data = spread(with_missing_flags(as_double(train_rows, cols)))
-    return gbt_pipeline(p, cols, label).fit(data)
+def fit_gbt(train_rows: DataFrame, p: GBTParams, with_embedding: bool = True, label: str = "stars") -> BO.Forest:
+    table = tree_table(train_rows, with_embedding, label, max_bins=p.max_bins)
+    booster = BO.Booster(table, p).advance(p.rounds)
+    booster.close()
+    table.close()
+    return booster.forest()
 
 
-def score(model: PipelineModel, rows: DataFrame, with_embedding: bool = True) -> DataFrame:
-    cols = feature_columns(with_embedding)
-    return model.transform(with_missing_flags(as_double(rows, cols)))
+def score(model: BO.Forest, rows: DataFrame, with_embedding: bool = True) -> DataFrame:
+    return BO.scored(rows, model, feature_columns(with_embedding))
 
 
 # ---------------------------------------------------------------- end to end
@@ -172,7 +109,7 @@ class ModelRun:
     encoder: object
     embedding: DataFrame
     train_rows: DataFrame
-    model: PipelineModel
+    model: BO.Forest
     targets: DataFrame          # routed targets with features and model_score
 
 
@@ -200,10 +137,7 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
     ids = SE.materialize(FE.item_category_ids(items, vocab), "item_ids")
     enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, embed)
     emb = SE.materialize(EM.embed_items(tv, ids, enc), "embedding")
-    # read by the imputer pass and the tree fit: written once, lineage cut
-    # before the long iterative fit
-    train_rows = SE.materialize(FE.feature_rows(tv, users, items).join(emb, "item_id", "left"),
-                                "model_train_rows")
+    train_rows = FE.feature_rows(tv, users, items).join(emb, "item_id", "left")
     model = fit_gbt(train_rows, gbt)
     ku, ki = known_keys(tv)
     tf = target_features(route_targets(targets, ku, ki), users, items, emb)
@@ -215,28 +149,17 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
 
 def fit_gbt_early_stopping(train_rows: DataFrame, val_rows: DataFrame, p: GBTParams,
                            patience: int = 100, with_embedding: bool = True,
-                           label: str = "stars") -> tuple[PipelineModel, int, list]:
-    """Best-round mode: fit in doubling budgets up to ``p.rounds``, stop once patience is
-    exhausted, refit at the best round.
+                           label: str = "stars") -> tuple[BO.Forest, int, list[float]]:
+    """Boost on train until ``patience`` rounds bring no better error on val, or ``p.rounds``.
 
-    Spark's ``validationTol`` stops at the first small improvement; this keeps
-    the surveyed patience semantics instead.  With the same seed the refit's
-    trees are a prefix of the first fit's.  Returns (model, best_round, errors).
+    Returns the forest up to the best round, that round, and the error after
+    every round up to the stop.  Nothing is fitted twice: the margins of both
+    tables are kept from round to round.
     """
-    from dataclasses import replace
-
-    from .tune import best_round
-
-    cols = feature_columns(with_embedding)
-    val_rows = with_missing_flags(as_double(val_rows, cols))
-    budget = min(p.rounds, 2 * patience)
-    while True:     # the trees of a smaller budget are a prefix of a larger one's
-        full = fit_gbt(train_rows, replace(p, rounds=budget), with_embedding, label)
-        errors = list(full.stages[-1].evaluateEachIteration(PipelineModel(stages=full.stages[:-1]).transform(val_rows), "squared"))
-        b = best_round(errors, patience)
-        if budget == p.rounds or b + patience <= budget:
-            break
-        budget = min(p.rounds, 2 * budget)
-    if b == budget:
-        return full, b, errors
-    return fit_gbt(train_rows, replace(p, rounds=b), with_embedding, label), b, errors
+    both = train_rows.withColumn("_train", F.lit(True)).unionByName(val_rows.withColumn("_train", F.lit(False)))
+    table = tree_table(both, with_embedding, label, "_train", p.max_bins)
+    booster = BO.Booster(table, p)
+    best = booster.until(p.rounds, patience)
+    booster.close()
+    table.close()
+    return booster.forest(best), best, booster.errors[:best + patience]

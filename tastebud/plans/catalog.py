@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import boost as BO
 from ..operators import cf as CF
 from ..operators import evaluate as EV
 from ..operators import features as FE
@@ -221,9 +222,14 @@ def item_multi_hot_filled(spark, sf_dir):
     return FE.multi_hot_rows(_tv(r), _item_ids(spark, sf_dir, r), fill=True)
 
 
+def _written_ratings(spark, sf_dir):
+    """Ratings of one scan, for queries that read them for rows and for both profiles."""
+    return SE.materialize(FX.ratings(spark, sf_dir), "ratings")
+
+
 @query
 def feature_rows(spark, sf_dir):
-    r = FX.ratings(spark, sf_dir)
+    r = _written_ratings(spark, sf_dir)
     rows = _tv(r).select("user_id", "item_id", "stars", "split")
     return FE.feature_rows(rows, FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r),
                            _item_ids(spark, sf_dir, r))
@@ -322,14 +328,14 @@ def model_routes(spark, sf_dir):
 
 @query
 def target_features(spark, sf_dir):
-    r = FX.ratings(spark, sf_dir)
+    r = _written_ratings(spark, sf_dir)
     return MO.target_features(_model_routed(r), FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r))
 
 
 @query
 def hybrid_blend(spark, sf_dir):
     """Blend and routes with the deterministic profile stand-in as model score."""
-    r = FX.ratings(spark, sf_dir)
+    r = _written_ratings(spark, sf_dir)
     tf = MO.target_features(_model_routed(r), FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r))
     tf = tf.withColumn("model", MO.profile_score())
     cf = CF.predict(CF.cf_parts(FX.split_ratings(r, "train"), FX.targets(r)), decimals=None)
@@ -361,7 +367,7 @@ def _once(kind, spark, sf_dir, make):
 
 def _model_run(spark, sf_dir):
     def make():
-        r = FX.ratings(spark, sf_dir)
+        r = _written_ratings(spark, sf_dir)
         return MO.run_model(r, FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r), FX.targets(r))
 
     return _once("model", spark, sf_dir, make)
@@ -410,10 +416,9 @@ def category_embed_pca(spark, sf_dir):
     return EM.embed_pca(_tv(r), FE.item_category_ids(items, vocab), vocab.count())
 
 
-@query
-def embedded_features(spark, sf_dir):
+def _embedded(spark, sf_dir, r):
+    """Feature rows of train and val with the category embedding."""
     from ..operators import embed as EM
-    r = FX.ratings(spark, sf_dir)
     users, items = FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r)
     vocab = FE.category_vocab(items)
     V = vocab.count()
@@ -423,6 +428,11 @@ def embedded_features(spark, sf_dir):
     return FE.feature_rows(tv, users, items).join(EM.embed_items(tv, ids, enc), "item_id", "left")
 
 
+@query
+def embedded_features(spark, sf_dir):
+    return _embedded(spark, sf_dir, _written_ratings(spark, sf_dir))
+
+
 @query
 def gbt_predict(spark, sf_dir):
     t = _model_run(spark, sf_dir).targets
@@ -432,13 +442,39 @@ def gbt_predict(spark, sf_dir):
 @query
 def gbt_unscored_routes(spark, sf_dir):
     """Targets that need no trees: one key known, or neither."""
-    r = FX.ratings(spark, sf_dir)
+    r = _written_ratings(spark, sf_dir)
     tf = MO.target_features(_model_routed(r), FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r))
     score = MO.one_sided(F.col("route"), F.lit(None).cast("double"))
     return (tf.where(F.col("route") != "both")
             .select("user_id", "item_id", F.round(score, 6).alias("prediction"), "route"))
 
 
+@query
+def gbt_by_rule(spark, sf_dir):
+    """Trees as a table, scored: a forest that a rule gives (whole eighths and sixteenths, so sums are exact)."""
+    r = _written_ratings(spark, sf_dir)
+    tf = MO.target_features(_model_routed(r), FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r))
+    t, i = F.col("tree"), F.col("node")
+    names = F.array(*[F.lit(c) for c in SC.BASE_FEATURES])
+    inner = i < 7
+    nodes = (spark.range(24).select(F.col("id").cast("int").alias("tree"), F.explode(F.sequence(F.lit(0), F.lit(14))).alias("node"))
+             .select("tree", "node", F.when(inner, F.get(names, (t * 4 + i * 5) % 9)).alias("feature"),
+                     F.when(inner, ((t * 7 + i * 13) % 48) / 8.0).alias("threshold"), F.when(inner, (t + i) % 2 == 0).alias("missing_left"),
+                     F.when(inner, 2 * i + 1).alias("left"), F.when(inner, 2 * i + 2).alias("right"),
+                     F.when(~inner, ((t * 31 + i * 17) % 23 - 11) / 16.0).alias("value")))
+    return MO.score(BO.Forest.read(nodes), tf, with_embedding=False).select("user_id", "item_id", F.col("model_score").alias("score"))
+
+
+@query
+def gbt_early_stopping(spark, sf_dir):
+    """Error on val after every round up to the stop, patience 100 rounds, at the surveyed settings."""
+    r = _written_ratings(spark, sf_dir)
+    rows = _embedded(spark, sf_dir, r)
+    _, best, errors = MO.fit_gbt_early_stopping(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"), MO.GBTParams())
+    told = [(k + 1, e, best, k + 1 == best) for k, e in enumerate(errors)]       # a row a round
+    return spark.createDataFrame(told, "round int, rmse double, best_round int, is_best boolean")
+
+
 @query
 def gbt_rmse(spark, sf_dir):
     return EV.rmse(_model_run(spark, sf_dir).targets, "prediction", "label")
@@ -460,28 +496,12 @@ def hybrid_predict(spark, sf_dir):
     return out.select("user_id", "item_id", "prediction", "alpha", "route")
 
 
-# Search budget of the catalog's tuning query.  The library's space is the
-# surveyed one (100 trials of 100 to 2,000 rounds): about a day at 0.5 s a round
-# on 8 cores, so this query alone is a shorter search and says so.
-CATALOG_SEARCH_ROUNDS = (10, 40)
-CATALOG_TRIALS = 4
-
-
 @query
 def gbt_tune(spark, sf_dir):
-    from ..operators import embed as EM
+    """The surveyed search: 100 trials over its whole ranges, by halving."""
     from ..operators import tune as TU
-    r = FX.ratings(spark, sf_dir)
-    users, items = FX.users(spark, sf_dir, r), FX.items(spark, sf_dir, r)
-    vocab = FE.category_vocab(items)
-    V = vocab.count()
-    ids = FE.item_category_ids(items, vocab)
-    tv = _tv(r).select("user_id", "item_id", "stars", "split")
-    enc = _encoder(spark, sf_dir, tv, ids, V)
-    rows = SE.materialize(FE.feature_rows(tv, users, items).join(EM.embed_items(tv, ids, enc), "item_id", "left"), "tune_rows")
-    trials = TU.sample_trials(TU.SearchSpace(rounds=CATALOG_SEARCH_ROUNDS), CATALOG_TRIALS, seed=3)
-    return TU.tune(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"),
-                   trials, parallelism=2)
+    rows = _embedded(spark, sf_dir, _written_ratings(spark, sf_dir))
+    return TU.tune(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"), trials=100, seed=3)
 
 
 def queries() -> dict[str, Query]:

@@ -320,6 +320,21 @@ SELECT user_id, item_id, route,
                         WHEN 'item_only' THEN coalesce(item_stars, CAST(3.75 AS DOUBLE))
                         ELSE CAST(3.75 AS DOUBLE) END, 6) AS prediction
 FROM tf WHERE route <> 'both'""")
+_NAMES = ["review_count", "average_stars", "useful", "funny", "cool", "fans", "item_stars", "item_review_count", "is_open"]
+_add("gbt_by_rule", with_ctes(FX, USERS, ITEMS, CATS, MODEL) + f"""
+, forest AS (
+  SELECT t, i, (t * 4 + i * 5) % 9 AS f, ((t * 7 + i * 13) % 48) / CAST(8 AS DOUBLE) AS threshold, (t + i) % 2 = 0 AS missing_left,
+         ((t * 31 + i * 17) % 23 - 11) / CAST(16 AS DOUBLE) AS value
+  FROM range(24) a(t), range(15) b(i)),
+x AS (SELECT row_number() OVER () AS k, user_id, item_id, [{", ".join(f"CAST({c} AS DOUBLE)" for c in _NAMES)}] AS v FROM tf),
+level0 AS (SELECT k, t, CAST(0 AS BIGINT) AS i FROM x, range(24) a(t)),
+{",".join(f"""
+level{d + 1} AS (
+  SELECT l.k, l.t, CASE WHEN CASE WHEN x.v[f.f + 1] IS NULL THEN f.missing_left ELSE x.v[f.f + 1] < f.threshold END
+                        THEN 2 * l.i + 1 ELSE 2 * l.i + 2 END AS i
+  FROM level{d} l JOIN x ON x.k = l.k JOIN forest f ON f.t = l.t AND f.i = l.i)""" for d in range(3))}
+SELECT x.user_id, x.item_id, sum(f.value) AS score
+FROM level3 l JOIN x ON x.k = l.k JOIN forest f ON f.t = l.t AND f.i = l.i GROUP BY x.k, x.user_id, x.item_id""")
 _add("hybrid_blend", with_ctes(FX, USERS, ITEMS, CATS, MODEL, CF) + """
 , hb AS (
   SELECT tf.user_id, tf.item_id, tf.route, c.pred_raw AS cf, c.n_neighbours,

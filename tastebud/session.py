@@ -75,6 +75,12 @@ DEFAULT_MAX_RECORDS = 1_000_000
 _written: list[str] = []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table or checkpoint that this package wrote in the shared folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @contextmanager
 def released(spark: SparkSession):
     """Remove, at the end, every table that ``materialize`` writes inside.
@@ -85,10 +91,8 @@ def released(spark: SparkSession):
     try:
         yield
     finally:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in _written[first:]:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+            remove(spark, path)
         del _written[first:]
 
 

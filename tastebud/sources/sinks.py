@@ -52,11 +52,11 @@ def write_features_csv(df: DataFrame, path: str, header: bool = False) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def save_model(model, path: str) -> None:
-    """Fitted Spark ML pipeline (imputer, assembler, trees) via the ML writer."""
-    model.write().overwrite().save(path)
+def save_model(model, spark, path: str) -> None:
+    """The trees as a table, one row a node."""
+    model.table(spark).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def load_model(path: str):
-    from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)
+def load_model(spark, path: str):
+    from ..operators.boost import Forest
+    return Forest.read(spark.read.parquet(path))
