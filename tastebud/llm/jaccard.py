@@ -272,5 +272,13 @@ def one_of_each(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame
     Rows without an id stay where no row of their component has one, one for each text.
     """
     low = jaccard_components(docs, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    low = low.select(F.col("doc_id").alias("_low")).distinct()
-    return (docs.join(low, F.col("doc_id").eqNullSafe(F.col("_low")), "left_semi").dropDuplicates(["doc_id", "text"]))
+    low = materialize(low.groupBy(F.col("doc_id").alias("_low")).agg(F.count("*").alias("_rows")), "jaccard_low")
+
+    def with_id_in(ids: DataFrame) -> DataFrame:
+        return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_low")), "left_semi")
+
+    kept, repeated = with_id_in(low.filter("_rows = 1")), low.filter("_rows > 1")
+    if repeated.isEmpty():
+        return kept
+    # whole texts are dealt out for repeated ids alone
+    return kept.unionByName(with_id_in(repeated).dropDuplicates(["doc_id", "text"]))
