@@ -7,12 +7,16 @@ columns of ``documents``; the last adds the mixture's counts.
 
 * quality: documents that the classifier scores below 0.5 go.  Its labels are
   those of the rows that op10 learns from.
-* near_duplicates: of documents linked by 4-word shingles (Jaccard 0.85) the one
-  with the smallest id stays.
+* near_duplicates: of documents linked by 5-word shingles (Jaccard 0.8 or more) the
+  one with the smallest id stays.
 * decontamination: documents that hold a benchmark item, edited or not, go.
 * secrets: every span is replaced by ``[SECRET]`` in ``text``; ``n_chars`` follows.
 * mixture: documents that the mix takes at least once stay, with ``taken`` words;
   one without words too, where the mix takes its row (0 words).
+
+Null, empty and very long texts pass every stage as its operator's text says;
+a null id is carried.  Of repeated rows near_duplicates keeps one.  Columns of
+``documents`` are kept, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs, width=4, percent=85)
+    return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
