@@ -28,7 +28,7 @@ from .sources import readers, sinks
 
 
 #: file order of targets over any number of files
-ORDER = ["file", "block", "target_id"]
+ORDER = readers.PLACE
 
 
 def _targets(spark: SparkSession, path: str) -> DataFrame:

@@ -22,6 +22,7 @@ from ..operators import ratings as RA
 from ..operators import similarity as SIM
 from .. import session as SE
 from ..sources import fixtures as FX
+from ..sources import lines as LI
 from ..sources import readers as RD
 from ..sources import schemas as SC
 
@@ -296,6 +297,48 @@ def csv_targets(spark, sf_dir):
     return t.select(*RD.parse_fields([f[k] for k in range(2)], ["user_id", "item_id"]))
 
 
+def _rating_files(spark, sf_dir, *columns, repeat=False):
+    """Ratings written as CSV files in (user, item, stars) order, a header in each; ``repeat``: also before every tenth user's rows."""
+    r = FX.ratings(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in ("user_id", "item_id", "stars")],
+                                         *[F.col(c).alias(f"_{c}") for c in ("user_id", "item_id", "stars")])
+    if repeat:
+        again = (r.where(F.col("_user_id") % 10 == 0).select("_user_id").distinct()
+                 .select(*[F.lit(c).alias(c) for c in columns], "_user_id", F.lit(-1).cast("long").alias("_item_id"), F.lit(0.0).alias("_stars")))
+        r = r.unionByName(again)
+    path = SE.folder(spark, "rating_files")
+    r.orderBy("_user_id", "_item_id", "_stars").select(*columns).write.option("header", True).csv(path)
+    return path
+
+
+@query
+def csv_repeated_headers(spark, sf_dir):
+    """Rating files with header lines throughout, read back."""
+    return RD.read_ratings(spark, _rating_files(spark, sf_dir, "user_id", "item_id", "stars", repeat=True))
+
+
+@query
+def split_at_row(spark, sf_dir):
+    """Rating files split at a row of the files' order: the first seven tenths are train."""
+    rows = LI.positioned(RD.read_ratings(spark, _rating_files(spark, sf_dir, "user_id", "item_id", "stars"), place=True))
+    return LI.split_at(rows, rows.count() * 7 // 10).select("position", "user_id", "item_id", "stars", "split")
+
+
+@query
+def zip_by_position(spark, sf_dir):
+    """A file of ids and a file of stars, put side by side by position."""
+    ids = LI.positioned(RD.read_targets(spark, _rating_files(spark, sf_dir, "user_id", "item_id"), place=True))
+    stars = LI.positioned(LI.read_rows(spark, _rating_files(spark, sf_dir, "stars")))
+    stars = stars.select("position", RD.strict_double(F.col("value")).alias("stars"))
+    return LI.zipped(ids, stars).select("position", "user_id", "item_id", "stars")
+
+
+@query
+def first_in_file_order(spark, sf_dir):
+    """First line of every item in the files' order."""
+    rows = LI.positioned(RD.read_ratings(spark, _rating_files(spark, sf_dir, "user_id", "item_id", "stars"), place=True))
+    return FE.first_occurrence(rows, "item_id", "position")
+
+
 @query
 def known_users(spark, sf_dir):
     return RA.known_keys(FX.ratings(spark, sf_dir), "user_id")

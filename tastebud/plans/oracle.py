@@ -266,6 +266,18 @@ _add("csv_ratings", with_ctes(FX) + """
 SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id, stars FROM fx_ratings""")
 _add("csv_targets", with_ctes(FX) + """
 SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id FROM tg""")
+_add("csv_repeated_headers", with_ctes(FX) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id, stars FROM fx_ratings""")
+_PLACED = with_ctes(FX) + """
+, placed AS (SELECT row_number() OVER (ORDER BY user_id, item_id, stars) - 1 AS position, CAST(user_id AS VARCHAR) AS user_id,
+                    CAST(item_id AS VARCHAR) AS item_id, stars FROM fx_ratings)"""
+_add("split_at_row", _PLACED + """
+SELECT position, user_id, item_id, stars,
+       CASE WHEN position < (SELECT count(*) FROM placed) * 7 // 10 THEN 'train' ELSE 'val' END AS split FROM placed""")
+_add("zip_by_position", _PLACED + "SELECT position, user_id, item_id, stars FROM placed")
+_add("first_in_file_order", _PLACED + """
+SELECT item_id, user_id AS first_user_id, stars AS first_stars FROM placed
+WHERE position IN (SELECT min(position) FROM placed GROUP BY item_id)""")
 _add("known_users", with_ctes(FX) + """
 SELECT user_id AS id, bool_or(split = 'train') AS in_train, bool_or(split = 'val') AS in_val
 FROM fx_ratings WHERE split IN ('train', 'val') GROUP BY user_id""")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -96,6 +97,13 @@ def released(spark: SparkSession):
         del _written[first:]
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder, removed by ``released``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -104,15 +112,11 @@ def materialize(df, name: str):
     when column pruning makes their sub-plans differ, and gives AQE exact
     sizes for its join choices.
     """
-    import uuid
-
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    path = folder(spark, name)
     # bounded file size so readers get enough, even splits (a file with one
     # row group is one read task); no extra shuffle is added for this
     per_file = spark.conf.get(MAX_RECORDS_KEY, str(DEFAULT_MAX_RECORDS))
-    _written.append(path)
     df.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
     return spark.read.parquet(path)
 

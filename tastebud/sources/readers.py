@@ -1,8 +1,8 @@
 """File sources: rating/target CSVs, profile JSON lines, numeric matrices.
 
-Readers never infer types and fail on malformed input.  CSV files are read by
-position: fields beyond the ones needed are ignored, and an empty id is the
-empty string, not null.  The JSON schemas and options also parse lines that
+Readers never infer types and fail on malformed input.  Rating and target files
+are read line by line (``lines``) and cut at commas: fields beyond the ones needed are
+ignored, and an empty or lacking id is the empty string, not null.  The JSON schemas and options also parse lines that
 come from a table (``parse_json``), as the CSV rules do (``parse_fields``).
 """
 
@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import schemas
+from . import lines, schemas
 
 STRICT = {"mode": "FAILFAST"}
+PLACE = [*lines.BLOCK, "at"]
 
 
 def strict_double(c: Column) -> Column:
@@ -33,24 +34,17 @@ def parse_json(lines: Column, schema: T.StructType) -> Column:
     return F.from_json(lines, schema, STRICT)
 
 
-def _by_position(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).csv(path)
-
-
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Labelled rating CSV with a header line: user_id, item_id, stars."""
-    raw = _by_position(spark, path)
-    return raw.select(*parse_fields([F.col(f"`{c}`") for c in raw.columns[:3]], ["user_id", "item_id", "stars"], "stars"))
+def read_ratings(spark: SparkSession, path: str, place: bool = False) -> DataFrame:
+    """Labelled rating lines: user_id, item_id, stars; every line that equals its file's first one is dropped."""
+    raw = lines.read_rows(spark, path)
+    cols = parse_fields(lines.fields(3), ["user_id", "item_id", "stars"], "stars")
+    return raw.select(*cols, *(PLACE if place else []))
 
 
 def read_targets(spark: SparkSession, path: str, place: bool = False) -> DataFrame:
-    """Target-pair CSV with a header line; ``place`` adds file, block and row, which order several files' lines."""
-    raw = _by_position(spark, path)
-    cols = parse_fields([F.col(f"`{c}`") for c in raw.columns[:2]], ["user_id", "item_id"])
-    if place:
-        cols += [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("target_id")]
-    return raw.select(*cols)
+    """Target-pair lines, headers dropped alike; ``place`` adds file, block and at, which order all files' lines."""
+    raw = lines.read_rows(spark, path)
+    return raw.select(*parse_fields(lines.fields(2), ["user_id", "item_id"]), *(PLACE if place else []))
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
