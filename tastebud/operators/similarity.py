@@ -73,6 +73,35 @@ def candidate_pairs(cands: DataFrame) -> DataFrame:
     return with_pair_key(cands).select("item_i", "item_j").distinct()
 
 
+def driven(pairs: DataFrame, raters: DataFrame) -> DataFrame:
+    """``pairs`` with drive and probe: its less- and its more-rated item; ``raters``: item_id, n and columns to attach as ``_i``, ``_j``."""
+    more = [c for c in raters.columns if c not in ("item_id", "n")]
+    i, j = (raters.select(F.col("item_id").alias(f"item_{k}"), F.col("n").alias(f"d_{k}"), *[F.col(c).alias(f"{c}_{k}") for c in more]) for k in "ij")
+    first = F.col("d_i") <= F.col("d_j")
+    return (pairs.join(i, "item_i").join(j, "item_j")
+            .select("item_i", "item_j", *[f"{c}_{k}" for c in more for k in "ij"],
+                    F.when(first, F.col("item_i")).otherwise(F.col("item_j")).alias("drive"),
+                    F.when(first, F.col("item_j")).otherwise(F.col("item_i")).alias("probe")))
+
+
+def co_ratings(p: DataFrame, r: DataFrame) -> DataFrame:
+    """item_i, item_j, r_i, r_j of every user who rated both items of a pair (drive, probe).
+
+    The expansion carries only (drive, probe, user, rating): it is the one
+    large shuffle of the plan; item order is restored after the probe, on the
+    few rows that found a co-rater.
+    """
+    rd = r.select(F.col("item_id").alias("drive"), "user_id", F.col("stars").alias("r_d"))
+    rp = r.select(F.col("item_id").alias("probe"), "user_id", F.col("stars").alias("r_p"))
+    hits = (blocked_join(p.select("drive", "probe"), rd, "drive", "probe", "user_id")
+            .join(rp, ["probe", "user_id"]))
+    d_first = F.col("drive") <= F.col("probe")
+    return hits.select(F.least("drive", "probe").alias("item_i"),
+                       F.greatest("drive", "probe").alias("item_j"),
+                       F.when(d_first, F.col("r_d")).otherwise(F.col("r_p")).alias("r_i"),
+                       F.when(d_first, F.col("r_p")).otherwise(F.col("r_d")).alias("r_j"))
+
+
 def pair_statistics(pairs: DataFrame, r: DataFrame, item_stats: DataFrame,
                     materialize: bool = False) -> DataFrame:
     """Per pair: n_co and the centred / closeness sums over co-raters.
@@ -82,30 +111,12 @@ def pair_statistics(pairs: DataFrame, r: DataFrame, item_stats: DataFrame,
     With ``materialize`` the annotated pair table (read by both union
     branches) is written once to the checkpoint folder.
     """
-    st = item_stats.select("item_id", "mean_stars", "n")
-    p = (pairs
-         .join(st.toDF("item_i", "m_i", "d_i"), "item_i")
-         .join(st.toDF("item_j", "m_j", "d_j"), "item_j")
-         .withColumn("drive_i", F.col("d_i") <= F.col("d_j"))
-         .select("item_i", "item_j", "m_i", "m_j",
-                 F.when(F.col("drive_i"), F.col("item_i")).otherwise(F.col("item_j")).alias("drive"),
-                 F.when(F.col("drive_i"), F.col("item_j")).otherwise(F.col("item_i")).alias("probe")))
+    p = driven(pairs, item_stats.select("item_id", F.col("mean_stars").alias("m"), "n"))
     if materialize:
         p = SE.materialize(p, "cf_pairs")
 
-    # the expansion carries only (drive, probe, user, rating): it is the one
-    # large shuffle of the plan; item order and means are restored after the
-    # probe, on the few rows that found a co-rater
-    rd = r.select(F.col("item_id").alias("drive"), "user_id", F.col("stars").alias("r_d"))
-    rp = r.select(F.col("item_id").alias("probe"), "user_id", F.col("stars").alias("r_p"))
-    hits = (blocked_join(p.select("drive", "probe"), rd, "drive", "probe", "user_id")
-            .join(rp, ["probe", "user_id"]))
-    d_first = F.col("drive") <= F.col("probe")
     means = item_stats.select("item_id", "mean_stars")
-    co = (hits.select(F.least("drive", "probe").alias("item_i"),
-                      F.greatest("drive", "probe").alias("item_j"),
-                      F.when(d_first, F.col("r_d")).otherwise(F.col("r_p")).alias("r_i"),
-                      F.when(d_first, F.col("r_p")).otherwise(F.col("r_d")).alias("r_j"))
+    co = (co_ratings(p, r)
           .join(means.toDF("item_i", "m_i"), "item_i")
           .join(means.toDF("item_j", "m_j"), "item_j"))
     r_i, r_j = F.col("r_i"), F.col("r_j")

@@ -18,6 +18,7 @@ from ..operators import evaluate as EV
 from ..operators import features as FE
 from ..operators import hybrid as HY
 from ..operators import model as MO
+from ..operators import pairsums as PS
 from ..operators import ratings as RA
 from ..operators import similarity as SIM
 from .. import session as SE
@@ -142,6 +143,29 @@ def pair_weight(spark, sf_dir):
                     F.round("weight", 6).alias("weight"))
 
 
+def _updated_sums(spark, sf_dir):
+    """Sums kept for train's candidate pairs, then updated by val's ratings; the ratings after that."""
+    parts = _cf(spark, sf_dir)
+    r, pairs = parts.dedup, SE.materialize(parts.pairs, "sum_pairs")
+    kept = SE.materialize(PS.pair_sums(pairs, r), "pair_sums")
+    changed = SE.materialize(PS.changed_ratings(r, FX.split_ratings(FX.ratings(spark, sf_dir), "val")), "changed_ratings")
+    return PS.merged(kept, PS.delta_sums(pairs, r, changed)), PS.merged_ratings(r, changed)
+
+
+@query
+def pair_sums_updated(spark, sf_dir):
+    return _updated_sums(spark, sf_dir)[0]
+
+
+@query
+def pair_weight_updated(spark, sf_dir):
+    """Weights from the updated sums and the item means after the update."""
+    sums, r = _updated_sums(spark, sf_dir)
+    items = r.groupBy("item_id").agg(F.sum("stars").alias("total"), F.count("*").alias("n"))
+    w = SIM.pair_weights(PS.statistics(sums, items), kept_only=False)
+    return w.select("item_i", "item_j", "n_co", F.round("raw_w", 6).alias("raw_w"))
+
+
 @query
 def weighted_neighbours(spark, sf_dir):
     n = _cf(spark, sf_dir).neighbours

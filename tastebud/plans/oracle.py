@@ -172,6 +172,24 @@ _add("pair_pearson", cf_sql(
     "FROM pw JOIN pw0 ON pw0.item_i = pw.item_i AND pw0.item_j = pw.item_j WHERE pw.n_co >= 3"))
 _add("pair_weight", cf_sql(
     "SELECT item_i, item_j, n_co, round(raw_w, 6) AS raw_w, round(weight, 6) AS weight FROM kept"))
+_LATER = "(SELECT user_id, item_id, max(stars) AS stars FROM fx_ratings WHERE split IN ('train', 'val') GROUP BY user_id, item_id)"
+_SUMS = f"""
+  SELECT p.item_i, p.item_j, count(a.user_id) AS n_co, coalesce(sum(a.stars), 0.0) AS s_i, coalesce(sum(b.stars), 0.0) AS s_j,
+         coalesce(sum(a.stars * a.stars), 0.0) AS q_i, coalesce(sum(b.stars * b.stars), 0.0) AS q_j,
+         coalesce(sum(a.stars * b.stars), 0.0) AS p_ij, coalesce(sum(abs(a.stars - b.stars)), 0.0) AS d_ij
+  FROM pairs p LEFT JOIN ({_LATER} a JOIN {_LATER} b ON a.user_id = b.user_id AND a.item_id <= b.item_id)
+    ON p.item_i = a.item_id AND p.item_j = b.item_id GROUP BY p.item_i, p.item_j"""
+_add("pair_sums_updated", cf_sql(_SUMS))
+_add("pair_weight_updated", cf_sql(f"""
+SELECT item_i, item_j, n_co, round(CASE WHEN n_co = 0 THEN 1 - abs(m_i - m_j) / CAST(5 AS DOUBLE)
+    WHEN n_co <= 2 OR sqrt(ss_i) = 0 OR sqrt(ss_j) = 0 THEN s_close / n_co ELSE s_ij / (sqrt(ss_i) * sqrt(ss_j)) END, 6) AS raw_w
+FROM (SELECT p.item_i, p.item_j, any_value(mi.m) AS m_i, any_value(mj.m) AS m_j, count(a.user_id) AS n_co,
+             sum(1 - abs(a.stars - b.stars) / CAST(5 AS DOUBLE)) AS s_close, sum((a.stars - mi.m) * (b.stars - mj.m)) AS s_ij,
+             sum((a.stars - mi.m) * (a.stars - mi.m)) AS ss_i, sum((b.stars - mj.m) * (b.stars - mj.m)) AS ss_j
+      FROM pairs p JOIN (SELECT item_id, avg(stars) AS m FROM {_LATER} GROUP BY item_id) mi ON mi.item_id = p.item_i
+      JOIN (SELECT item_id, avg(stars) AS m FROM {_LATER} GROUP BY item_id) mj ON mj.item_id = p.item_j
+      LEFT JOIN ({_LATER} a JOIN {_LATER} b ON a.user_id = b.user_id AND a.item_id <= b.item_id) ON p.item_i = a.item_id AND p.item_j = b.item_id
+      GROUP BY p.item_i, p.item_j) x"""))
 _add("weighted_neighbours", cf_sql(
     "SELECT user_id, item_id, neighbour_id, round(weight, 6) AS weight, stars FROM wn"))
 _add("topn_neighbours", cf_sql("SELECT user_id, item_id, rank, neighbour_id FROM top"))
