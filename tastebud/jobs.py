@@ -85,8 +85,8 @@ def main(argv=None) -> None:
     ap.add_argument("--exclude-self", action="store_true",
                     help="CF: do not use a target's own rating as a neighbour")
     ap.add_argument("--rounds", type=int, default=383)
-    ap.add_argument("--embed-steps", type=int, default=EM.EmbedParams.steps)
-    ap.add_argument("--embed-lr", type=float, default=EM.EmbedParams.lr)
+    ap.add_argument("--embed-passes", type=int, default=EM.EmbedParams.passes)
+    ap.add_argument("--embed-lr", type=float, default=EM.EmbedParams.batch_lr)
     a = ap.parse_args(argv)
     spark = SE.build_session(app=f"tastebud-{a.kind}")
     with SE.released(spark):
@@ -94,7 +94,7 @@ def main(argv=None) -> None:
             cf_job(spark, a.inputs, a.targets, a.out, a.n, a.exclude_self)
         else:
             model_job(spark, a.inputs, a.targets, a.out, a.rounds, hybrid=a.kind == "hybrid",
-                      embed=EM.EmbedParams(steps=a.embed_steps, lr=a.embed_lr))
+                      embed=EM.EmbedParams(passes=a.embed_passes, batch_lr=a.embed_lr))
     spark.stop()
 
 

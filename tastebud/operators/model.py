@@ -135,7 +135,7 @@ def run_model(ratings: DataFrame, users: DataFrame, items: DataFrame, targets: D
     vocab = FE.category_vocab(items)
     V = vocab.count()
     ids = SE.materialize(FE.item_category_ids(items, vocab), "item_ids")
-    enc = EM.fit_autoencoder(EM.training_sets(tv, ids), V, embed)
+    enc = EM.fit_minibatches(EM.training_sets(tv, ids), V, embed)
     emb = SE.materialize(EM.embed_items(tv, ids, enc), "embedding")
     train_rows = FE.feature_rows(tv, users, items).join(emb, "item_id", "left")
     model = fit_gbt(train_rows, gbt)

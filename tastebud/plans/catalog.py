@@ -442,7 +442,7 @@ def _model_run(spark, sf_dir):
 
 def _encoder(spark, sf_dir, tv, ids, size):
     from ..operators import embed as EM
-    return _once("encoder", spark, sf_dir, lambda: EM.fit_autoencoder(EM.training_sets(tv, ids), size))
+    return _once("encoder", spark, sf_dir, lambda: EM.fit_minibatches(EM.training_sets(tv, ids), size))
 
 
 @query

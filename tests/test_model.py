@@ -60,6 +60,34 @@ def test_embedding_learns_and_sql_transform_matches_numpy(spark, fixture):
     assert np.allclose(np.array([emb[k] for k in keys]), ref, atol=1e-9)
 
 
+def test_minibatches_reach_a_lower_loss_than_full_batches(spark, fixture):
+    """Stated loss: below that of 60 full-batch steps, and of the best constant; parts and order do not depend on the input's partitions."""
+    r, users, items, V, ids, tv = fixture
+    sets = EM.training_sets(tv, ids)
+    enc = EM.fit_minibatches(sets, V)
+    assert enc.losses[-1] < EM.fit_autoencoder(sets, V).losses[-1] < marginal_loss(sets, V)
+    assert enc.losses[-1] == pytest.approx(EM.reconstruction_loss(sets, enc))
+    for p in (EM.EmbedParams(least_steps=0), EM.EmbedParams(least_steps=0, rows_per_partition=40)):
+        one, two = (EM.fit_minibatches(x, V, p) for x in (sets, sets.repartition(5)))
+        assert np.allclose(one.W, two.W, atol=1e-9) and np.allclose(one.U, two.U, atol=1e-9)
+        assert len(one.losses) == 3 and one.losses[2] < one.losses[0]
+    assert EM.fit_minibatches(sets.limit(0), V).losses == []
+
+
+def test_block_gradient_is_that_of_differences():
+    rng, V, d = np.random.default_rng(3), 7, 3
+    import pandas as pd
+    pdf = pd.DataFrame({"ids": [[0, 2], [], [6, 1, 3]]})
+    theta, weight = rng.normal(0, 1, V * d * 2 + d + V), np.array([0.2, 0.5, 0.3])
+    g = np.zeros_like(theta)
+    EM._add_gradient(theta, g, *EM._dense(pdf, V), weight, d)
+    for k in range(0, theta.size, 5):
+        step = np.zeros_like(theta)
+        step[k] = 1e-6
+        up, down = (EM._add_gradient(theta + s, np.zeros_like(theta), *EM._dense(pdf, V), weight, d) for s in (step, -step))
+        assert g[k] == pytest.approx((up - down) / 2e-6, abs=1e-7)
+
+
 def test_gbt_beats_mean_and_is_deterministic(spark, fixture):
     r, users, items, V, ids, tv = fixture
     rows = FE.feature_rows(tv.select("user_id", "item_id", "stars"), users, items)
