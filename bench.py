@@ -36,6 +36,8 @@ def main() -> None:
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024),
                "spark.ui.showConsoleProgress": "false",
+               # TCP between JVM and Python workers costs a delayed acknowledgement (40 ms) a task
+               "spark.python.unix.domain.socket.enabled": "true",
                # local[N] has few cores: smaller AQE targets give more, evener tasks
                "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get(
                    "BENCH_ADVISORY_BYTES", str(16 * 1024 * 1024)),
