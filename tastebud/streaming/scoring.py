@@ -61,9 +61,11 @@ def score_targets(spark: SparkSession, train: DataFrame, target_folder: str, out
             if earlier:
                 known = spark.read.parquet(*earlier)
         parts = CF.cf_parts(None, targets, n, prepared=prepared, known_weights=known)
+        if weight_memo:     # written first, then read by the predictions: the batch's pairs are scored once
+            scored = f"{weight_memo.rstrip('/')}/batch={epoch_id}"
+            parts.evaluated.write.mode("overwrite").parquet(scored)
+            parts.evaluated = spark.read.parquet(scored)
         CF.predict(parts).write.mode("overwrite").parquet(f"{out_folder.rstrip('/')}/batch={epoch_id}")
-        if weight_memo:
-            parts.evaluated.write.mode("overwrite").parquet(f"{weight_memo.rstrip('/')}/batch={epoch_id}")
 
     w = target_stream(spark, target_folder, max_files).writeStream.foreachBatch(batch)
     w = w.option("checkpointLocation", checkpoint)

@@ -1,6 +1,6 @@
 """Hot keys: one user and one item each hold about a third of all ratings.
 
-AQE skew-join thresholds are lowered so the skew split path really runs; the
+Hot keys are cut by ``blocked_join``; AQE's thresholds are lowered too, so that its split of other joins runs; the
 result must equal the brute-force rule.
 """
 
