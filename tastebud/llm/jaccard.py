@@ -5,7 +5,8 @@ enumerates its fixed-size subsets: two small sets link when they share a
 subset of as many shingles as their sizes ask for.  A larger set scans
 inverted lists: of its shingles in an order shared by all documents, rare ones
 first, only the leading ones that any partner must hit are looked up.  ``b`` is
-the boundary of least cost: subsets written against list entries read.
+the boundary of least cost: subsets written against list entries written and
+the lengths of their lists.
 
 * Document counts of shingles are taken over all documents into two tables of
   fixed size, indexed by hash: a bit for "in two documents or more" and the
@@ -20,7 +21,8 @@ the boundary of least cost: subsets written against list entries read.
 
 Null or empty text: an empty set, linked with nothing.  A null ``doc_id`` takes
 part in links; it is the component's id only where all ids are null.  Repeated
-rows are kept, one result row each.  Extra columns are ignored.
+rows are kept, one result row each.  Extra columns are ignored.  An empty table
+gives no rows; a text of any length is one set in one task.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ FLAG_BITS, CLASS_BITS = 27, 24      # fixed-size tables: 16 MB of bits, 16 MB of
 RANGES = 10                         # 2**RANGES hash ranges, counted apart
 SKETCH_WORDS = 16                   # 1,024 parity bits a set
 LARGEST_BOUNDARY = 30               # sizes that may enumerate subsets
+READS = 20                          # members of a list read at the cost of one entry written
 BUFFER = 1_000_000                  # shingles counted together by one map task
 
 
@@ -78,29 +81,46 @@ def _counts(width: int):
     return run
 
 
+def _summed(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(h, kind="stable")
+    h, c = h[order], c[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    return h[first], np.add.reduceat(c, first)
+
+
 def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts: dict[int, list] = {}
-    for batch in batches:
-        for k, once, more, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            h = np.concatenate([np.frombuffer(once, "<u4"), np.frombuffer(more, "<u4")])
-            c = np.ones(len(h), np.int64)
-            c[len(once) // 4 :] = np.frombuffer(times, "<u4")
-            parts.setdefault(k, []).append((h, c))
-    for k, got in parts.items():
-        h = np.concatenate([x[0] for x in got])
-        c = np.concatenate([x[1] for x in got])
-        order = np.argsort(h, kind="stable")
-        h, c = h[order], c[order]
-        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        h, c = h[first], np.add.reduceat(c, first)
+    """Flags and levels of one range after another (rows come sorted by range).
+
+    What is held never passes a few times the 2**(32 - RANGES) hashes that a range has, whatever the input.
+    """
+    now, held, waiting = None, [], 0
+
+    def closed() -> pa.RecordBatch:
+        h, c = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
         h, c = h[c > 1], c[c > 1]
         bits = np.zeros(1 << (FLAG_BITS - RANGES), np.uint8)
         bits[(h >> np.uint32(32 - FLAG_BITS)) & np.uint32(len(bits) - 1)] = 1
         level = np.zeros(1 << (CLASS_BITS - RANGES), np.uint8)
         np.maximum.at(level, (h >> np.uint32(32 - CLASS_BITS)) & np.uint32(len(level) - 1),
                       np.log2(np.maximum(c, 1)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary()),
-                                          pa.array([level.tobytes()], pa.binary())], ["range", "flags", "levels"])
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary()),
+                                           pa.array([level.tobytes()], pa.binary())], ["range", "flags", "levels"])
+
+    for batch in batches:
+        for k, once, more, times in zip(*batch.columns, strict=True):
+            k = k.as_py()
+            if k != now:
+                if held:
+                    yield closed()
+                now, held, waiting = k, [], 0
+            once, more, times = (np.frombuffer(x.as_buffer(), "<u4") for x in (once, more, times))
+            held.append((np.concatenate([once, more]), np.concatenate([np.ones(len(once), np.int64), times])))
+            waiting += len(held[-1][0])
+            if waiting > max(BUFFER, 2 * len(held[0][0])):
+                held = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+                waiting = 0
+    if held:
+        yield closed()
 
 
 def shingle_tables(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +129,7 @@ def shingle_tables(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = (docs.select(F.col("text").cast("binary"))
             .mapInArrow(_counts(width), "range int, once binary, more binary, times binary")
-            .repartition(parts, "range")
+            .repartition(parts, "range").sortWithinPartitions("range")
             .mapInArrow(_tables, "range int, flags binary, levels binary"))
     flags = np.zeros(1 << (FLAG_BITS - 3), np.uint8)
     levels = np.zeros(1 << CLASS_BITS, np.uint8)
@@ -123,13 +143,14 @@ def _sets(width: int, percent: int, tables):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, (flags, levels), seen = WordHashes(), tables.value, set()
         for batch in batches:
-            n, node, packed, shared = [], [], [], []
+            n, node, packed, shared, price = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, width, memo)
                 n.append(len(s))
                 node.append(None)
                 packed.append(None)
                 shared.append(None)
+                price.append(None)
                 if not len(s):
                     continue
                 bit = (s >> np.uint64(64 - FLAG_BITS)).astype(np.int64)
@@ -142,13 +163,16 @@ def _sets(width: int, percent: int, tables):
                 seen.add(key)
                 if len(seen) > 200_000:
                     seen.clear()
-                order = np.lexsort((s, np.where(in_two, levels[(s >> np.uint64(64 - CLASS_BITS)).astype(np.int64)] + 1, 0)))
+                level = np.where(in_two, levels[(s >> np.uint64(64 - CLASS_BITS)).astype(np.int64)] + 1, 0)
+                order = np.lexsort((s, level))
                 packed[-1] = s[order].view(np.int64).tolist()
-                shared[-1] = int(len(s) - in_two.sum())
+                shared[-1] = alone = int(len(s) - in_two.sum())
+                lists = level[order][alone : len(s) - math.ceil(len(s) * percent / 100) + 1]
+                price[-1] = float((1 + np.exp2(lists - 1.0) / READS).sum())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()),
-                 pa.array(packed, pa.list_(pa.int64())), pa.array(shared, pa.int32())],
-                ["doc_id", "n", "node", "shingles", "alone"])
+                 pa.array(packed, pa.list_(pa.int64())), pa.array(shared, pa.int32()), pa.array(price, pa.float64())],
+                ["doc_id", "n", "node", "shingles", "alone", "price"])
     return run
 
 
@@ -160,7 +184,8 @@ def subsets_of(n: int, percent: int) -> int:
 def boundary(sizes: list[tuple[int, int, float]], percent: int) -> int:
     """The largest size that enumerates subsets, at least cost.
 
-    ``sizes`` has (size, sets, entries that their list scans read) for sizes up to LARGEST_BOUNDARY.
+    ``sizes`` has (size, sets, cost of their list scans) for sizes up to LARGEST_BOUNDARY.  A scan costs an
+    entry written for each leading shingle, and the members of its list, READS of them as much as an entry.
     """
     best, least = 0, math.inf
     for b in range(LARGEST_BOUNDARY + 1):
@@ -217,13 +242,12 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     docs = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     tables = spark.sparkContext.broadcast(shingle_tables(docs, width))     # 32 MB at any input size
     rows = materialize(docs.mapInArrow(
-        _sets(width, percent, tables), "doc_id long, n long, node binary, shingles array<long>, alone int"), "jaccard_rows")
+        _sets(width, percent, tables), "doc_id long, n long, node binary, shingles array<long>, alone int, price double"), "jaccard_rows")
     sets = materialize(rows.filter("shingles is not null").dropDuplicates(["node"])
-                       .select("node", "n", "shingles", "alone"), "jaccard_sets")
+                       .select("node", "n", "shingles", "alone", "price"), "jaccard_sets")
 
-    lead = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     sizes = [tuple(r) for r in sets.filter(F.col("n") <= LARGEST_BOUNDARY)
-             .groupBy("n").agg(F.count("*"), F.sum(F.greatest(lead - F.col("alone"), F.lit(0)) * 2.0)).collect()]
+             .groupBy("n").agg(F.count("*"), F.sum("price")).collect()]
     b = boundary(sizes, percent)
     keyed = materialize(sets.mapInArrow(
         _keys(percent, b), "node binary, n long, keys array<long>, sketch array<long>").filter("size(keys) > 0"), "jaccard_keys")
