@@ -1,13 +1,14 @@
 """Secret scan: a linear-chain conditional random field over the words of a text.
 
-Words are tagged as secret begin (B), inside (I) or outside (O).  A word's
-scores are sums of learned weights for its shape, its length, character mix
+Words (also cut at commas, semicolons, ampersands and braces, so that a line of
+JSON or a query string is not one word) are tagged as secret begin (B), inside
+(I) or outside (O).  Features read a word to its end.  A word's scores are sums of learned weights for its shape, its length, character mix
 and keywords, for the shape of both neighbours, and for features of the whole
 text; transitions have weights too.  Viterbi decodes the best tag sequence.
 
 The weights are learned by stochastic gradient descent on the exact
-log-likelihood (forward and backward sums) from a bounded sample of texts, in
-windows around the spans of the fixed rules and around other odd words; the
+log-likelihood (forward and backward sums) from a bounded sample of texts, in a
+bounded number of windows around the spans of the fixed rules and around other odd words; the
 fixed rules give the tags.  So the field learns what secrets look like and adds
 spans that no rule matches literally; every span of the rules stays.
 
@@ -33,15 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, ship_package
+from .common import MEMO_WORDS, materialize, mix64, ship_package
 
 # The patterns of the base rules.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KINDS = ("assign", "access", "hex", "crf")
 
+WORD = re.compile(r"[^\x20\x09-\x0D,;&{}]+")
+
 BITS = 16
 O, B, I = 0, 1, 2  # noqa: E741
 EDGES = "\"'`()[]{}<>,;:.!?#$%&*|="
@@ -49,6 +51,7 @@ KEYWORDS = ("pass", "secret", "token", "key", "pwd", "auth", "cred")
 KEYWORD, LETTERS_HEX = re.compile("|".join(KEYWORDS)), re.compile("[a-fA-F]+")
 WINDOW = 6          # words kept on both sides of an odd word for training
 OTHERS = 40         # odd words outside the rules' spans that one text gives to training, by hash
+WINDOWS = 40_000    # windows learned from, chosen by hash where the sampled texts have more
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -66,22 +69,22 @@ def digest(spans: list[tuple[str, int, int]]) -> str:
 
 
 def shape(word: str) -> str:
-    s = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() else "a" if m[0].islower() else "Aa", word[:64])
-    return re.sub(r"[0-9]+", "9", s)[:12]
+    """Runs of letters and digits as one sign each; what repeats at once stands there once, with a plus."""
+    s = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() else "a" if m[0].islower() else "Aa", word)
+    return re.sub(r"(.{1,4}?)\1+", r"\1+", re.sub(r"[0-9]+", "9", s))
 
 
 def word_features(word: str) -> list[str]:
     """Features of a word that the word alone decides."""
     core = word.strip(EDGES)
-    n, digits = len(core), sum(map(str.isdigit, core[:200]))
-    turns = len(re.findall(r"[a-z][0-9]|[0-9][a-z]|[A-Z][0-9]|[0-9][A-Z]", core[:200]))
+    n, digits = len(core), sum(map(str.isdigit, core))
+    turns = len(re.findall(r"[a-z][0-9]|[0-9][a-z]|[A-Z][0-9]|[0-9][A-Z]", core))
     hexed = bool(re.fullmatch(r"[0-9a-fA-F]+", core))
-    out = ["s:" + shape(word), f"n:{min(12, n // 4)}", f"d:{min(5, math.ceil(5 * digits / max(1, min(n, 200))))}", f"t:{min(6, turns)}"]
+    out = ["s:" + shape(word), f"n:{min(12, n // 4)}", f"d:{min(5, math.ceil(5 * digits / max(1, n)))}", f"t:{min(6, turns)}"]
     out += [f"h:{hexed}:{min(6, n // 8)}", f"q:{word[:1] in '\"\''}", f"e:{'=' in word.strip('=')}"]
     if turns >= 2 and n >= 12:
         out.append("mixed")
-    low = word[:64].lower()
-    out += ["k:" + k for k in dict.fromkeys(KEYWORD.findall(low))]
+    out += ["k:" + k for k in dict.fromkeys(KEYWORD.findall(word.lower()))]
     return out
 
 
@@ -164,17 +167,28 @@ def tagged(text: str) -> tuple[list[str], list[int], list[tuple[int, int]]]:
     return words, tags, at
 
 
-def train(texts: list[str], epochs: int = 4, rate: float = 0.1, seed: int = 5) -> Field:
-    """Fit on windows around every tagged word, OTHERS other words with digits or signs a text, and two places of any kind."""
-    field, rng, seqs = Field(), np.random.default_rng(seed), []
+def train(texts: list[str], epochs: int = 4, rate: float = 0.1, seed: int = 5, windows: int = WINDOWS) -> Field:
+    """Fit on windows around every tagged word, OTHERS other words with digits or signs a text, and two places of any kind.
+
+    Where that makes more than ``windows`` of them, those of least hash are taken.
+    """
+    field, rng, cuts, seqs = Field(), np.random.default_rng(seed), [], []
     for text in texts:
         words, tags, _ = tagged(text)
         odd = [i for i, (w, t) in enumerate(zip(words, tags, strict=True)) if not t and re.search(r"[0-9=@:_]", w)]
         odd = sorted(odd, key=lambda i: xxhash.xxh64_intdigest(f"{i} {words[i]}"))[:OTHERS]
         odd = sorted(odd + [i for i, t in enumerate(tags) if t])
+        cuts.append(np.array(odd + list(rng.integers(0, len(words), min(2, len(words)))), np.int64))
+    if sum(map(len, cuts)) > windows:
+        order = [mix64((np.uint64(k) << np.uint64(32)) + at.astype(np.uint64)) for k, at in enumerate(cuts)]
+        last = np.partition(np.concatenate(order), windows - 1)[windows - 1]
+        cuts = [at[h <= last] for at, h in zip(cuts, order, strict=True)]
+    for text, at in zip(texts, cuts, strict=True):
+        if not len(at):
+            continue
+        words, tags, _ = tagged(text)
         doc = slots(text_features(text), "doc")
-        cuts = odd + list(rng.integers(0, len(words), min(2, len(words))))
-        for i in cuts:
+        for i in at:
             a, z = max(0, int(i) - WINDOW), min(len(words), int(i) + WINDOW + 1)
             seqs.append((field.rows(words[a:z], doc), tags[a:z]))
     for epoch in range(epochs):
@@ -195,7 +209,7 @@ class WordScores(dict):
 
     def __missing__(self, word: str) -> int:
         core = word.strip(EDGES)
-        if core.isalpha() and len(word) <= 64:      # all that the features of such a word depend on
+        if core.isalpha():      # all that the features of such a word depend on
             case = 0 if core.islower() else 1 if core.isupper() else 2
             key = (*word.split(core, 1), case, min(12, len(core) // 4), LETTERS_HEX.fullmatch(core) is None, *KEYWORD.findall(word.lower()))
         else:
@@ -303,20 +317,25 @@ def _redact(model, mark: str):
     return run
 
 
-def fitted(docs: DataFrame, sample: int = 1500, longest: int = 20_000) -> Field:
-    """A field learned from at most ``sample`` texts with rule spans and as many others, by id hash.
+def fitted(docs: DataFrame, sample: int = 1500, longest: int = 20_000, windows: int = WINDOWS) -> Field:
+    """A field learned from at most ``sample`` texts with rule spans and a third as many others, by hash of id and text.
 
-    Texts over ``longest`` characters are scanned, not learned from: 60 MB at most.
+    Texts over ``longest`` characters are scanned, not learned from: 60 MB at most.  One scan counts both kinds;
+    a second one takes the texts under the hash that leaves about twice the sample, equal rows once.
     """
-    texts = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).filter(F.length("text").between(1, longest))
     rule = r"AKIA[A-Z0-9]{14}|[0-9a-f]{16}|[:=] *[\"']?[A-Za-z0-9+/_.=-]{12}"
-    rows = []
-    for has, n in ((True, sample), (False, sample // 3)):
-        part = texts.filter(F.col("text").rlike(rule) == F.lit(has))
-        last = part.select("h").orderBy("h").limit(n).agg(F.max("h")).first()[0]     # hashes first: few texts leave the scan
-        if last is not None:
-            rows += [r["text"] for r in part.filter(F.col("h") <= last).orderBy("h", "text").limit(n).collect()]
-    return train(rows)
+    has, wanted = F.col("text").rlike(rule), {True: sample, False: sample // 3}
+    texts = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).filter(F.length("text").between(1, longest))
+    counts = dict(texts.groupBy(has).count().collect())
+    last = {k: min(2**63 - 1, int(2**65 * n / counts[k]) - 2**63) for k, n in wanted.items() if counts.get(k)}
+    if not last:
+        return train([])
+    few = texts.filter(F.col("h") <= max(last.values())).select("text", "h", has.alias("has"))      # the pattern on few texts only
+    few = materialize(few.filter(F.col("h") <= F.when(F.col("has"), last.get(True)).otherwise(last.get(False)))
+                      .groupBy("has", "h").agg(F.min("text").alias("text")), "secrets_sample")
+    rows = [r["text"] for k, n in wanted.items() if k in last
+            for r in few.filter(F.col("has") == F.lit(k)).orderBy("h").limit(n).collect()]
+    return train(rows, windows=windows)
 
 
 def scan(docs: DataFrame, field: Field) -> DataFrame:

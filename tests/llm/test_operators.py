@@ -238,6 +238,45 @@ def test_boundary_weighs_subsets_against_lists():
     assert jaccard.subsets_of(14, 85) == 1 + 14 + 91
 
 
+def test_small_sets_with_long_lists_link_by_subsets(spark, monkeypatch):
+    rng = random.Random(21)
+    start = " ".join(f"w{k}" for k in range(11))                # 8 shingles; with one more word 9, of which 8 are common
+    texts = [start if k % 50 == 7 else f"{start} x{rng.randrange(200)}" if k % 3 else " ".join(words(rng, 12)) for k in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    chosen, boundary = [], jaccard.boundary
+    monkeypatch.setattr(jaccard, "boundary", lambda *a: chosen.append(boundary(*a)) or chosen[-1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(df).collect()}
+    assert 9 < 0.85 * (chosen[0] + 1)       # no set has list keys: every link is one of subsets
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split() for t in texts)]
+    want = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 85 * len(a | sets[j]) and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if x == high else x for x in want]
+    assert got == dict(enumerate(want))
+    assert len({t for t, c in zip(texts, want, strict=True) if c == want[7]}) > 100
+
+
+def test_counts_are_held_one_range_at_a_time():
+    import numpy as np
+    import pyarrow as pa
+
+    def rows(k, once, more):
+        return (k, np.array(once, "<u4").tobytes(), np.array([h for h, _ in more], "<u4").tobytes(), np.array([c for _, c in more], "<u4").tobytes())
+
+    first = 3 << (32 - jaccard.RANGES)
+    got = [rows(0, [5, 9 << 8], []), rows(0, [5], [(1 << 15, 6)]), rows(3, [first + 7], [(first + (1 << 10), 2)])]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in part]) for i in range(4)], ["range", "once", "more", "times"])
+               for part in (got[:1], got[1:])]
+    out = [r for b in jaccard._tables(iter(batches)) for r in b.to_pylist()]
+    assert [r["range"] for r in out] == [0, 3]
+    flags = [np.flatnonzero(np.unpackbits(np.frombuffer(r["flags"], np.uint8))).tolist() for r in out]
+    assert flags == [[0, (1 << 15) >> 5], [(1 << 10) >> 5]]           # 9 << 8 and first + 7 occur once
+    level = np.frombuffer(out[0]["levels"], np.uint8)
+    assert level[0] == 1 and level[(1 << 15) >> 8] == 2
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["comp"] for r in connected_components(links, "t").collect()}
@@ -408,6 +447,34 @@ def test_training_sees_every_tagged_word(monkeypatch):
     assert any("n290" < w for window in seen[:40] for w in window if w[0] == "n" and len(w) == 4)     # not a prefix of the text
 
 
+def test_features_read_a_word_to_its_end(spark):
+    rng = random.Random(17)
+    start = "x" * 300
+    plain, other = secrets.word_features(start + "abcd"), secrets.word_features(start + "auth=A7b9")
+    assert "k:auth" in other and "k:auth" not in plain and len(set(plain) ^ set(other)) > 3
+    assert secrets.shape("a9" * 500) == "a9+" and secrets.shape("a9" * 500 + "-B") == "a9+-A"
+    field = secrets.train(secret_texts(rng))
+    memo, slack = secrets.WordScores(field), field.slack()
+    line = "{" + ",".join(f'{a}:{b}' for a, b in zip(words(rng, 60), words(rng, 60), strict=True))      # one line without spaces
+    secret = "".join(rng.choices("0123456789ABCDEF", k=40))
+    text = f'{line},"{secret}",{line[1:]}' + "}"
+    at = len(line) + 2
+    assert secrets.secret_spans(text, memo, field, slack) == ([], [("crf", at, at + 40)])
+
+
+def test_windows_are_bounded_by_hash(spark, monkeypatch):
+    rng = random.Random(19)
+    seen: list[int] = []
+    rows = secrets.Field.rows
+    monkeypatch.setattr(secrets.Field, "rows", lambda self, w, doc: seen.append(len(w)) or rows(self, w, doc))
+    secrets.train(secret_texts(rng), epochs=1, windows=100)
+    assert len(seen) == 100
+    texts = [(k, t) for k, t in enumerate(secret_texts(rng))] + [(1000, " \n "), (1001, ",,,"), (1002, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    field = secrets.fitted(docs.unionByName(docs.limit(100)), sample=50)
+    assert abs(field.w).max() > 0 and (field.w == secrets.fitted(docs.repartition(3), sample=50).w).mean() > 0.5
+
+
 def test_pruned_decoding_is_the_best_sequence():
     import numpy as np
 
