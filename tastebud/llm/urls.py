@@ -5,13 +5,18 @@ Native throughout.  A listed key is a host suffix and a path prefix, as in
 labels as listed hosts have) with its path prefixes (of the lengths that listed
 paths have).  The Bloom filter is an array of 64-bit blocks, ``HASHES`` bits of
 one block a key, so one candidate reads one word; it is built by a grouped
-bitwise OR and sized by the list.  Only candidates that pass it reach the join
-with the list, which removes false positives; a URL's longest key decides.
+bitwise OR and sized by the list.  Up to ``LARGEST_BLOCKS`` blocks (counted
+first) it is one value that every task reads; a filter of a longer list stays a
+table of blocks, dealt by block number, that the candidates are joined to.  Only
+candidates that pass it reach the join with the list, which removes false
+positives; a URL's longest key decides.
 
 The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end,
 A-Z lower-cased; the path runs on to ``?``, ``#`` or the end.  Null or without
 ``://``: both empty, no rule, the default verdict.  Of keys listed twice, block
-wins.  Repeated rows are judged apiece, extra columns are ignored.
+wins.  Repeated rows are judged apiece, extra columns are ignored.  An empty
+table gives no rows, an empty list the default verdict for all.  A URL has at most
+(listed labels) x (listed path lengths) candidates, however long it is.
 """
 
 from __future__ import annotations
@@ -19,10 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az
+from .common import lower_az, materialize
 
 HASHES = 4
 BITS_PER_KEY = 16
+LARGEST_BLOCKS = 1 << 20        # 8 MB, of a list of four million keys
 
 
 def host(url: Column) -> Column:
@@ -34,7 +40,7 @@ def path(url: Column) -> Column:
 
 
 def block_of(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    return F.pmod(F.xxhash64(key), F.lit(blocks).cast("long"))
 
 
 def pattern_of(key: Column) -> Column:
@@ -47,11 +53,15 @@ def pattern_of(key: Column) -> Column:
     return out
 
 
+def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
+    """(b, p): the filter of ``keys`` (key), its blocks that have a bit."""
+    return (keys.select(block_of(F.col("key"), blocks).alias("b"), pattern_of(F.col("key")).alias("p"))
+            .groupBy("b").agg(F.bit_or("p").alias("p")))
+
+
 def bloom(keys: DataFrame, blocks: int) -> DataFrame:
     """One row, one column ``words``: the filter of ``keys`` (key), an array of ``blocks`` words."""
-    used = (keys.select(block_of(F.col("key"), blocks).alias("b"), pattern_of(F.col("key")).alias("p"))
-            .groupBy("b").agg(F.bit_or("p").alias("p")))
-    full = keys.sparkSession.range(blocks).select(F.col("id").cast("int").alias("b")).join(used, "b", "left")
+    full = keys.sparkSession.range(blocks).select(F.col("id").alias("b")).join(bloom_blocks(keys, blocks), "b", "left")
     rows = F.array_sort(F.collect_list(F.struct("b", F.coalesce("p", F.lit(0).cast("long")).alias("p"))))
     return full.agg(rows["p"].alias("words"))
 
@@ -66,7 +76,6 @@ def judged(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataF
                                   F.max(F.length("path")).alias("prefix")))
     facts = listed.agg(F.count("*").alias("n"), F.max("labels").alias("labels"), F.sort_array(F.collect_set("prefix")).alias("prefixes")).first()
     blocks = max(1, facts["n"] * BITS_PER_KEY // 64 + 1)
-    words = bloom(listed, blocks).scalar()     # read once, as one value, by every task: 2 bytes a listed key
 
     rows = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     if not facts["n"]:
@@ -77,13 +86,20 @@ def judged(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataF
     prefixes = F.transform(F.filter(F.array(*(F.lit(n) for n in facts["prefixes"])), lambda n: n <= F.length("path")),
                            lambda n: F.substr(F.col("path"), F.lit(1), n))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("words", words)
-
-    def passes(key: Column) -> Column:
-        return F.get(F.col("words"), block_of(key, blocks)).bitwiseAND(pattern_of(key)) == pattern_of(key)
-
-    rows = rows.withColumn("hits", F.when(F.col("host") != "", F.filter(keys, passes))).drop("words")
-    hits = (rows.select("row", F.explode("hits").alias("key")).join(listed.select("key", "verdict"), "key")
+    # written, as both branches below read the numbers
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "url_rows")
+    keyed = rows.filter("host <> ''")
+    if blocks <= LARGEST_BLOCKS:
+        def passes(key: Column) -> Column:
+            word = F.get(F.col("words"), block_of(key, blocks).cast("int"))
+            return word.bitwiseAND(pattern_of(key)) == pattern_of(key)
+
+        keyed = keyed.withColumn("words", bloom(listed, blocks).scalar())
+        hits = keyed.select("row", F.explode(F.filter(keys, passes)).alias("key"))
+    else:
+        hits = (keyed.select("row", F.explode(keys).alias("key")).withColumn("b", block_of(F.col("key"), blocks))
+                .join(bloom_blocks(listed, blocks), "b").filter(F.col("p").bitwiseAND(pattern_of(F.col("key"))) == pattern_of(F.col("key"))))
+    hits = (hits.select("row", "key").join(listed.select("key", "verdict"), "key")
             .groupBy("row").agg(F.max_by(F.struct(F.col("key").alias("rule"), "verdict"), F.length("key")).alias("x")))
     return (rows.join(hits, "row", "left")
             .select("page_id", "host", "path", F.col("x.rule").alias("rule"), F.coalesce("x.verdict", F.lit(default)).alias("verdict")))

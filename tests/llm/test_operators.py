@@ -373,7 +373,7 @@ def test_ablation_counts_by_bits(spark):
 
 
 # ---------------------------------------------------------------- URLs
-def test_urls_equal_brute_force(spark):
+def test_urls_equal_brute_force(spark, monkeypatch):
     listed = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("com", "/de/", "block"), ("a.b.com", "/de/x", "allow"), ("com", "/de/", "allow")]
     hosts, paths = ["org", "x.org", "EXAMPLE.org", "m.example.org", "com", "a.b.com", "c.a.b.com", "xa.b.com", ""], ["", "/", "/es/", "/es", "/de/x?y#/z", "#/es/", "/de/", "/de/xy"]
     pages = [(k, s + h + p) for k, (s, h, p) in enumerate((s, h, p) for s in ("http://", "x://y://", "") for h in hosts for p in paths)] + [(None, None), (0, "http://org/"), (999, "")]
@@ -391,6 +391,8 @@ def test_urls_equal_brute_force(spark):
     assert sorted(map(str, got)) == sorted(str(type(got[0])(p, *want(u))) for p, u in pages) or sorted(
         (str(r["page_id"]), r["host"], r["path"], str(r["rule"]), r["verdict"]) for r in got) == sorted(
         (str(p), *want(u)[:2], str(want(u)[2]), want(u)[3]) for p, u in pages)
+    monkeypatch.setattr(urls, "LARGEST_BLOCKS", 0)      # the filter as a table of blocks
+    assert sorted(map(str, urls.judged(df, table).collect())) == sorted(map(str, got))
     none = urls.judged(df, table.limit(0)).collect()
     assert len(none) == len(pages) and {r["verdict"] for r in none} == {"allow"}
     assert urls.judged(df.limit(0), table).count() == 0
