@@ -23,18 +23,20 @@ common scores, and these as a prior of each class's.  Word counts are a grouped
 sum over all documents; the pieces are a vocabulary of fixed size.
 
 Each distinct word goes through the lattice once.  Words that make up more than
-1/2**FREQUENT_BITS of the corpus (so at most 2**FREQUENT_BITS, of at most
-FREQUENT_BYTES bytes) are broadcast; all other words of a document meet their
+1/2**FREQUENT_BITS of the corpus (so at most 2**FREQUENT_BITS; those over
+FREQUENT_BYTES bytes as their hashes) are broadcast; all other words of a document meet their
 count and score in a join on the word's hash.
 
 Null or empty text: only the end token.  A null ``doc_id`` is not held out.
 Repeated rows are scored apiece.  With no training rows the existing scores
-and N = V = 0 hold.  Extra columns are ignored.
+and N = V = 0 hold.  An empty table gives no rows.  Besides text, ``lang`` is
+needed, null or not.  A word of any length is spelled whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -303,6 +305,11 @@ def _score(model, stats: Words):
     return run
 
 
+def _short(word: bytes) -> bytes:
+    """The word, or of a long one its hash behind a space, which no word has."""
+    return word if len(word) <= FREQUENT_BYTES else b" " + xxhash.xxh64_digest(word)
+
+
 def _documents(frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, base, lp, known = frequent.value
@@ -310,7 +317,7 @@ def _documents(frequent):
             rows = []
             for text in batch.column(2).to_pylist():
                 words = words_of(text)
-                at = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
+                at = np.fromiter((index.get(_short(w), -1) for w in words), np.int64, len(words))
                 own = at[at >= 0]
                 rare = Counter([w for w, k in zip(words, at.tolist(), strict=True) if k < 0]) if len(own) < len(words) else {}
                 rows.append((len(words) + 1, int(known[own].sum()), float(base[own].sum()), lp[own].sum(axis=0).tolist(),
@@ -378,17 +385,18 @@ def lattice_scores(docs: DataFrame, held, pieces: dict[bytes, float], rounds: in
                                           "word binary, c long, h long, " + ", ".join(f"{x} double" for x in logs)), "lm_scored")
 
     least = max(1, total >> FREQUENT_BITS)
-    top = scored.filter((F.col("c") > least) & (F.length("word") <= FREQUENT_BYTES)).select("word", "c", *logs).collect()
+    top = scored.filter(F.col("c") > least).select(
+        F.when(F.length("word") <= FREQUENT_BYTES, F.col("word")).alias("word"), "h", "c", *logs).collect()
     c = np.array([r["c"] for r in top], np.float64)
     below = math.log10(total + distinct + 1)
-    frequent = sc.broadcast(({bytes(r["word"]): i for i, r in enumerate(top)}, np.log10(c + 1) - below,
-                             np.array([r[2:] for r in top]).reshape(len(top), k), (c > 0).astype(np.int64)))
+    frequent = sc.broadcast(({bytes(r["word"]) if r["word"] is not None else b" " + struct.pack(">q", r["h"]): i for i, r in enumerate(top)}, np.log10(c + 1) - below,
+                             np.array([r[3:] for r in top]).reshape(len(top), k), (c > 0).astype(np.int64)))
     rows = materialize(docs.select("doc_id", "held_out", "text").mapInArrow(
         _documents(frequent), "doc_id long, held_out boolean, n_tokens long, known long, base double, lp array<double>, "
         "rare array<long>, times array<long>").withColumn("row", F.monotonically_increasing_id()), "lm_rows")
     rare = (rows.select("row", F.explode(F.arrays_zip(F.col("rare").alias("h"), F.col("times").alias("n"))).alias("x"))
             .select("row", "x.h", "x.n")
-            .join(scored.select("h", "c", *logs).hint("shuffle_hash"), "h")
+            .join(scored.select("h", "c", *logs), "h")
             .groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
                                 F.sum(F.col("n") * (F.log10(F.col("c") + 1) - below)).alias("rare_base"),
                                 *(F.sum(F.col("n") * F.col(x)).alias(x) for x in logs)))

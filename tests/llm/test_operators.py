@@ -138,6 +138,15 @@ def test_scores_against_brute_force(spark, odd, empty):
     assert lm.lattice_scores(empty, held_out(empty["doc_id"], 7, 2), pieces()).count() == 0
 
 
+def test_long_words_are_scored_alike_by_name_and_by_hash(spark, monkeypatch):
+    rows = [(i, f"a {'-' * 80} b {'=' * (70 + i % 2)} {'+' * 100}", "x", "", 0, 0, "", 0, 0.0) for i in range(12)]
+    docs, got = spark.createDataFrame(rows, DOCS), []
+    for size in (64, 1000, 0):          # long words as hashes, all as names, all as hashes
+        monkeypatch.setattr(lm, "FREQUENT_BYTES", size)
+        got.append(sorted(map(str, lm.lattice_scores(docs, held_out(docs["doc_id"], 7, 2), pieces(), rounds=1).collect())))
+    assert got[0] == got[1] == got[2]
+
+
 @pytest.mark.parametrize("langs", ["----", "xyxy"])
 def test_probabilities_of_words_sum_below_one(spark, langs):
     docs = spark.createDataFrame([(i, t, langs[i], "", 0, 0, "", 0, 0.0) for i, t in enumerate(["a b", "a", "ab ba", "b"])], DOCS)
