@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import bitsets as BS
 from ..operators import boost as BO
 from ..operators import cf as CF
 from ..operators import evaluate as EV
@@ -143,6 +144,18 @@ def pair_weight(spark, sf_dir):
                     F.round("weight", 6).alias("weight"))
 
 
+@query
+def item_rater_bitmaps(spark, sf_dir):
+    return BS.rater_words(RA.dedup(FX.split_ratings(FX.ratings(spark, sf_dir), "train")))
+
+
+@query
+def pair_co_raters_by_bitmap(spark, sf_dir):
+    parts = _cf(spark, sf_dir)
+    words = SE.materialize(BS.rater_words(parts.dedup), "rater_words")
+    return BS.co_rater_counts(SE.materialize(parts.pairs, "bitmap_pairs"), words)
+
+
 def _updated_sums(spark, sf_dir):
     """Sums kept for train's candidate pairs, then updated by val's ratings; the ratings after that."""
     parts = _cf(spark, sf_dir)

@@ -162,6 +162,7 @@ _add("cold_targets", cf_sql("SELECT user_id, item_id FROM routed WHERE route <>
 _add("candidate_neighbours", cf_sql("SELECT user_id, item_id, neighbour_id, stars FROM cand"))
 _add("candidate_pairs", cf_sql("SELECT item_i, item_j FROM pairs"))
 _add("pair_co_raters", cf_sql("SELECT item_i, item_j, n_co FROM pw0"))
+_add("pair_co_raters_by_bitmap", cf_sql("SELECT item_i, item_j, n_co FROM pw0"))
 _add("pair_closeness", cf_sql(
     "SELECT item_i, item_j, n_co, "
     "round(CASE WHEN n_co = 0 THEN 1 - abs(m_i - m_j) / CAST(5 AS DOUBLE) "
@@ -172,6 +173,11 @@ _add("pair_pearson", cf_sql(
     "FROM pw JOIN pw0 ON pw0.item_i = pw.item_i AND pw0.item_j = pw.item_j WHERE pw.n_co >= 3"))
 _add("pair_weight", cf_sql(
     "SELECT item_i, item_j, n_co, round(raw_w, 6) AS raw_w, round(weight, 6) AS weight FROM kept"))
+_add("item_rater_bitmaps", with_ctes(FX) + """
+  SELECT item_id, CAST(place // 64 AS INTEGER) AS word,
+         bit_or(CASE place % 64 WHEN 63 THEN -9223372036854775808 ELSE CAST(1 AS BIGINT) << CAST(place % 64 AS INTEGER) END) AS bits
+  FROM r JOIN (SELECT user_id, row_number() OVER (ORDER BY count(*) DESC, user_id) - 1 AS place FROM r GROUP BY user_id) u USING (user_id)
+  GROUP BY 1, 2""")
 _LATER = "(SELECT user_id, item_id, max(stars) AS stars FROM fx_ratings WHERE split IN ('train', 'val') GROUP BY user_id, item_id)"
 _SUMS = f"""
   SELECT p.item_i, p.item_j, count(a.user_id) AS n_co, coalesce(sum(a.stars), 0.0) AS s_i, coalesce(sum(b.stars), 0.0) AS s_j,
