@@ -1,0 +1,62 @@
+"""Co-ratings without an expansion by raters, and whole inputs of counts, models and positions."""
+
+import random
+
+import pytest
+
+from tastebud.operators import bitsets as BS
+from tastebud.operators import similarity as SIM
+
+R = "user_id long, item_id long, stars double"
+PAIRS = "item_i long, item_j long"
+
+
+def _ratings(rng):
+    found = {(rng.choice([rng.randrange(40), rng.randrange(4)]), rng.randrange(25)): float(rng.randint(1, 5)) for _ in range(400)}
+    return [(u, i, s) for (u, i), s in found.items()]
+
+
+@pytest.mark.parametrize("light", [3, 12, 256])
+def test_light_and_heavy_users_give_every_co_rating_once(spark, monkeypatch, light):
+    monkeypatch.setattr(SIM, "LIGHT_ROWS", light)
+    rng = random.Random(light)
+    rows = _ratings(rng)
+    stars = {(u, i): s for u, i, s in rows}
+    pairs = sorted({tuple(sorted((rng.randrange(25), rng.randrange(25)))) for _ in range(120)})
+    r = spark.createDataFrame([*rows, (None, 3, 1.0), (None, 4, 2.0), (1, None, 3.0)], R)
+    asked = spark.createDataFrame([*pairs, *pairs[:10]], PAIRS)
+    got = [tuple(x) for x in SIM.co_ratings(asked, r).join(asked.distinct(), ["item_i", "item_j"], "left_semi")
+           .select("item_i", "item_j", "r_i", "r_j").collect()]
+    want = [(i, j, stars[u, i], stars[u, j]) for i, j in pairs for u in range(40) if (u, i) in stars and (u, j) in stars]
+    assert sorted(got) == sorted(want)
+
+
+def test_pairs_are_not_expanded_by_their_raters(spark):
+    rows = _ratings(random.Random(1))
+    r, pairs = spark.createDataFrame(rows, R), spark.createDataFrame([(1, 2), (3, 3)], PAIRS)
+    means = r.groupBy("item_id").agg({"stars": "avg", "user_id": "count"}).toDF("item_id", "mean_stars", "n")
+    plan = SIM.pair_statistics(pairs, r, means)._jdf.queryExecution().toString()
+    assert "probe" not in plan and "drive" not in plan
+
+
+def test_many_candidates_are_dealt_over_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(SIM, "TASK_ROWS", 10)
+    rows = _ratings(random.Random(2))
+    r = spark.createDataFrame(rows, R)
+    pairs = spark.createDataFrame([(i, j) for i in range(25) for j in range(i, 25)], PAIRS)
+    means = r.groupBy("item_id").agg({"stars": "avg", "user_id": "count"}).toDF("item_id", "mean_stars", "n")
+    got, want = (sorted(tuple(x) for x in SIM.pair_statistics(pairs, r, means, rows=n).select("item_i", "item_j", "n_co").collect()) for n in (325, 0))
+    assert got == want and len(got) == 325
+
+
+@pytest.mark.parametrize("light", [2, 4096])
+def test_words_of_many_items_are_intersected_apart(spark, monkeypatch, light):
+    monkeypatch.setattr(BS, "LIGHT_ROWS", light)
+    rng = random.Random(light)
+    rows = [(rng.choice([rng.randrange(300), rng.randrange(20)]), rng.randrange(12), 3.0) for _ in range(900)]
+    raters = {}
+    for u, i, _ in rows:
+        raters.setdefault(i, set()).add(u)
+    pairs = [(i, j) for i in range(13) for j in range(i, 13)]
+    got = BS.co_rater_counts(spark.createDataFrame(pairs, PAIRS), BS.rater_words(spark.createDataFrame(rows, R))).collect()
+    assert sorted(map(tuple, got)) == [(i, j, len(raters.get(i, set()) & raters.get(j, set()))) for i, j in pairs]
