@@ -10,8 +10,8 @@ Native throughout: Spark SQL functions and Spark ML.
   digits, groups, signs, checksum) and context features (words before, what
   stands at both ends).  They learn from the fixed rules: a candidate that is
   a rule's span is positive, one that no rule accepts is negative.  The fit
-  reads a bounded sample, at most ``sample`` candidates by hash.
-* A threshold is calibrated for each generator on candidates kept out of the
+  reads four fifths of all candidates, by hash.
+* A threshold is calibrated for each generator on the candidates kept out of the
   fit: the least score at which precision reaches ``precision``.  Candidates
   beyond it that overlap no fixed span are added, the best of overlapping ones.
 
@@ -149,11 +149,11 @@ def featured(spans: DataFrame) -> tuple[DataFrame, list[str]]:
     return rows.drop("base", "before", "after"), [f"f_{k}" for k in value]
 
 
-def boosted(rows: DataFrame, names: list[str], sample: int, precision: float) -> tuple[object, dict[str, float]] | None:
-    """Trees and a threshold for each generator, or None where the sample has one class only."""
-    order = F.xxhash64("row", "a", "z", "m")
-    known = rows.orderBy(order, "row", "a").limit(sample).select("generator", "label", F.pmod(order, F.lit(5)).alias("fold"), *names)
-    known = materialize(VectorAssembler(inputCols=names, outputCol="features").transform(known).select("generator", "label", "fold", "features"), "pii_sample")
+def boosted(rows: DataFrame, names: list[str], precision: float) -> tuple[object, dict[str, float]] | None:
+    """Trees and a threshold for each generator, learned from all of ``rows``, or None where they have one class only."""
+    fold = F.pmod(F.xxhash64("row", "a", "z", "m"), F.lit(5)).alias("fold")
+    known = rows.select("generator", "label", fold, *names)
+    known = materialize(VectorAssembler(inputCols=names, outputCol="features").transform(known).select("generator", "label", "fold", "features"), "pii_candidates")
     classes = known.groupBy("fold", "label").count().collect()
     if len({r["label"] for r in classes if r["fold"]}) < 2:
         return None
@@ -168,11 +168,11 @@ def boosted(rows: DataFrame, names: list[str], sample: int, precision: float) ->
     return trees, limits
 
 
-def personal_data(docs: DataFrame, sample: int = 20_000, precision: float = 0.95) -> DataFrame:
+def personal_data(docs: DataFrame, precision: float = 0.95) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added for every row of ``docs``."""
     spans = materialize(with_spans(docs), "pii_spans")
     rows, names = featured(spans)
-    model = boosted(rows, names, sample, precision)
+    model = boosted(rows, names, precision)
     if model is None:
         added = None
     else:

@@ -3,9 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tastebud.llm import decontam, pii
 from tastebud.operators import bitsets as BS
 from tastebud.operators import similarity as SIM
+from tastebud.sources import lines as LI
 
 R = "user_id long, item_id long, stars double"
 PAIRS = "item_i long, item_j long"
@@ -60,3 +63,44 @@ def test_words_of_many_items_are_intersected_apart(spark, monkeypatch, light):
     pairs = [(i, j) for i in range(13) for j in range(i, 13)]
     got = BS.co_rater_counts(spark.createDataFrame(pairs, PAIRS), BS.rater_words(spark.createDataFrame(rows, R))).collect()
     assert sorted(map(tuple, got)) == [(i, j, len(raters.get(i, set()) & raters.get(j, set()))) for i, j in pairs]
+
+
+def test_positions_meet_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(LI, "TASK_ROWS", 10)
+    left = spark.range(100).select(F.col("id").alias("position"), (F.col("id") * 2).alias("a"))
+    right = spark.range(100).select(F.col("id").alias("position"), (F.col("id") * 3).alias("b"))
+    assert LI.dealt(left, 100, "position").rdd.getNumPartitions() == 10
+    assert LI.dealt(left, 100, "position", by_range=True).rdd.getNumPartitions() == 10
+    got = sorted(map(tuple, LI.zipped(left, right).collect()))
+    assert got == [(k, 2 * k, 3 * k) for k in range(100)]
+
+
+def test_personal_data_is_learned_from_all_candidates(spark, monkeypatch):
+    learned = {}
+
+    def noted(df, name):
+        learned[name] = df.count()
+        return df
+
+    monkeypatch.setattr(pii, "materialize", noted)
+    k = F.col("id")
+    rows = spark.range(20_500).select(k.alias("row"), F.lit(0).alias("a"), F.lit(9).alias("z"), k.cast("string").alias("m"),
+                                      F.when(k % 2 == 0, "address").otherwise("number").alias("generator"),
+                                      (k % 3 == 0).cast("double").alias("label"), (k % 3).cast("double").alias("f_x"))
+    trees, limits = pii.boosted(rows, ["f_x"], 0.95)
+    assert list(learned.values()) == [20_500]
+    assert set(limits) == {"address", "number"} and all(0 < x <= 1 for x in limits.values())
+
+
+def test_pairs_of_items_are_counted_over_all_documents(spark, monkeypatch):
+    counts, seeds = [], decontam.Block.seeds
+
+    def noted(self, count):
+        counts.append(count.copy())
+        return seeds(self, count)
+
+    monkeypatch.setattr(decontam.Block, "seeds", noted)
+    docs = spark.createDataFrame([(k, f"start{k} alpha beta gamma delta epsilon end{k}") for k in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon")], "item_id long, text string")
+    assert decontam.contaminated(docs, items).count() == 40
+    assert set(counts[0].tolist()) == {40}
