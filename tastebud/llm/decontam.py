@@ -13,8 +13,8 @@ items runs in bounded memory; every block reads all documents.
   differ by at most ``2 * size * (1 - least)``.  An item may therefore do
   without its commonest places, as many as leave a third of that number to
   be found near each other: no alignment that scores ``least`` is missed,
-  however its edits are spread.  Counts of pairs, over a share of
-  the documents by hash, choose these places and change no score.
+  however its edits are spread.  Counts of pairs over all documents
+  choose these places and change no score.
 * Where a document holds enough seeds of an item, the passage around them is
   aligned with the whole item by Smith-Waterman over words: +2 for an equal
   word, -1 for another word or a gap.  ``score`` is the best alignment over
@@ -40,7 +40,6 @@ from .common import MEMO_WORDS, mix64, ship_package, words_of
 
 BLOCK_WORDS = 1_000_000     # of items in one broadcast
 TOGETHER = 200_000          # words of documents looked up at once
-SHARE = 8                   # one in so many documents is counted for the rarity of pairs
 EDGES = b".,;:!?\"'()[]{}<>*#%&$|/\\-_=+~`^"
 SCHEMA = "doc_id long, item_id long, score double, matched long, item_words long, start_word long, end_word long, seeds long"
 
@@ -305,7 +304,7 @@ def prepared(docs: DataFrame, items: DataFrame, n: int, least: float) -> Iterato
     """Broadcasts of each block and of its seeds."""
     sc = docs.sparkSession.sparkContext
     ship_package(docs.sparkSession)
-    texts = docs.select(F.col("text").cast("binary")).filter(F.pmod(F.xxhash64("text"), F.lit(SHARE)) == 0)
+    texts = docs.select(F.col("text").cast("binary"))
     for block in blocks_of(items, n, least):
         shared = sc.broadcast(block)
         count = np.zeros(len(block.keys), np.int64)
