@@ -26,6 +26,8 @@ from .. import session as SE
 #: headers travel by broadcast up to so many files; beyond, lines meet them in a shuffle
 MOST_FILES = 100_000
 BLOCK = ["file", "block"]
+#: rows of one task where whole tables are sorted, beyond what the set number of partitions gives
+TASK_ROWS = 500_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -89,10 +91,18 @@ def split_at(rows: DataFrame, row: int) -> DataFrame:
     return rows.withColumn("split", F.when(F.col("position") < row, "train").otherwise("val"))
 
 
+def dealt(df: DataFrame, rows: int, *keys: str, by_range: bool = False) -> DataFrame:
+    """``df`` dealt by ``keys`` in parts of about ``TASK_ROWS`` rows, where it has more than the set number of partitions would hold so."""
+    tasks = -(-rows // TASK_ROWS)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartitionByRange(*keys) if by_range else df
+    return df.repartitionByRange(tasks, *keys) if by_range else df.repartition(tasks, *keys)
+
+
 def zipped(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of two positioned tables side by side; they must have equally many."""
     n, m = left.count(), right.count()
     if n != m:
         raise ValueError(f"files of {n} and {m} rows cannot be zipped")
     clash = [c for c in (*BLOCK, "at", "value") if c in right.columns]
-    return left.join(right.drop(*clash), "position")
+    return dealt(left, n, "position").join(dealt(right.drop(*clash), n, "position"), "position")
