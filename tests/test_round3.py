@@ -104,3 +104,11 @@ def test_pairs_of_items_are_counted_over_all_documents(spark, monkeypatch):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon")], "item_id long, text string")
     assert decontam.contaminated(docs, items).count() == 40
     assert set(counts[0].tolist()) == {40}
+
+
+def test_ratings_without_stars_count_as_co_ratings(spark):
+    rows = [(u, i, None if u == 3 else float(u % 5 + i)) for u in range(6) for i in (1, 2)] + [(9, 3, 4.0)]
+    r = spark.createDataFrame(rows, R)
+    means = r.groupBy("item_id").agg({"stars": "avg", "user_id": "count"}).toDF("item_id", "mean_stars", "n")
+    got = SIM.pair_statistics(spark.createDataFrame([(1, 2), (2, 3)], PAIRS), r, means)
+    assert sorted(tuple(x) for x in got.select("item_i", "item_j", "n_co").collect()) == [(1, 2, 6), (2, 3, 0)]
