@@ -1,0 +1,76 @@
+"""Pairs and candidates met packed, by user: equal to the tables of rows, without a table of pairs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tastebud import session as SE
+from tastebud.functions import similarity as S
+from tastebud.operators import cf as CF
+from tastebud.operators import pairsums as PS
+from tastebud.operators import similarity as SIM
+
+R = "user_id long, item_id long, stars double"
+
+
+def _run(spark, seed, exclude_self=False):
+    rng = random.Random(seed)
+    rows = [(rng.choice([rng.randrange(30), rng.randrange(3)]), rng.choice([rng.randrange(25), rng.randrange(3)]), float(rng.randint(1, 5))) for _ in range(300)]
+    rows += [(1, None, 3.0), (5, None, 2.0), (None, 3, 1.0), (7, 4, None), (8, 4, None)]
+    targets = sorted({(rng.randrange(33), rng.randrange(28)) for _ in range(120)} | {(2, k) for k in range(20)})
+    return CF.cf_parts(spark.createDataFrame(rows, R), spark.createDataFrame(targets, "user_id long, item_id long"), exclude_self=exclude_self)
+
+
+def _pairs(parts):
+    """As rows, a pair once, with the means."""
+    return SIM.keyed_means(parts._candidates(parts.item_stats)).groupBy("item_i", "item_j").agg(F.min("m_i").alias("m_i"), F.min("m_j").alias("m_j"))
+
+
+def _rows(df, *columns):
+    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in row) for row in df.select(*columns).collect()), key=repr)
+
+
+@pytest.mark.parametrize("light,task,exclude_self", [(256, 1_000_000, False), (8, 20, False), (8, 20, True)])
+def test_packed_candidates_are_those_of_the_rows(spark, monkeypatch, light, task, exclude_self):
+    monkeypatch.setattr(SIM, "LIGHT_ROWS", light)
+    monkeypatch.setattr(SIM, "CHUNK_ROWS", 4)
+    monkeypatch.setattr(SIM, "TASK_ROWS", task)
+    parts = _run(spark, light, exclude_self)
+    # every co-rating of a pair by a plain join
+    pairs, r = _pairs(parts), parts.dedup
+    two = [r.select("user_id", F.col("item_id").alias(f"item_{k}"), F.col("stars").alias(f"r_{k}")) for k in "ij"]
+    co = pairs.join(two[0], "item_i").join(two[1], ["user_id", "item_j"])
+    a, b = F.col("r_i") - F.col("m_i"), F.col("r_j") - F.col("m_j")
+    made = co.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("n"), F.sum(S.closeness(F.col("r_i"), F.col("r_j"))).alias("s_close"),
+                                              F.sum(a * b).alias("s_ij"), F.sum(a * a).alias("ss_i"), F.sum(b * b).alias("ss_j"))
+    stats = pairs.join(made, ["item_i", "item_j"], "left").select("item_i", "item_j", "m_i", "m_j", F.coalesce("n", F.lit(0)).alias("n_co"),
+                                                               *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("s_close", "s_ij", "ss_i", "ss_j")])
+    assert _rows(parts.stats, *stats.columns) == _rows(stats, *stats.columns)
+    want = SIM.weighted_neighbours(parts.candidates, SIM.pair_weights(stats))
+    columns = ["user_id", "item_id", "neighbour_id", "stars", "n_co", "raw_w", "weight"]
+    assert _rows(parts.neighbours, *columns) == _rows(want, *columns)
+    assert _rows(parts.top, "user_id", "item_id", "neighbour_id", "rank") == _rows(CF.top_neighbours(want), "user_id", "item_id", "neighbour_id", "rank")
+
+
+@pytest.mark.parametrize("light,task", [(256, 1_000_000), (8, 20)])
+def test_packed_sums_are_those_of_the_rows(spark, monkeypatch, light, task):
+    monkeypatch.setattr(SIM, "LIGHT_ROWS", light)
+    monkeypatch.setattr(SIM, "CHUNK_ROWS", 4)
+    parts = _run(spark, 3)
+    pairs = SE.materialize(parts.pairs, "test_pairs")
+    want = _rows(PS.pair_sums(pairs, parts.dedup), "item_i", "item_j", *PS.SUMS)
+    monkeypatch.setattr(SIM, "TASK_ROWS", task)
+    assert _rows(PS.candidate_sums(parts.sides), "item_i", "item_j", *PS.SUMS) == want
+
+
+def test_no_pair_is_shuffled_or_written_as_a_row(spark):
+    parts = _run(spark, 1)
+    first = len(SE._written)
+    for df, by in ((parts.stats, "item_i"), (parts.top, "item_i")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+        assert moved and not any("item_j" in line or "neighbour_id" in line for line in moved)
+        assert sum(f"hashpartitioning({by}" in line for line in moved) == 1
+        assert not any("hashpartitioning(user_id" in line and "item_id" in line for line in moved)
+    assert not any("cf_pairs" in path for path in SE._written[first:])
