@@ -121,14 +121,15 @@ class CFParts:
 
     @cached_property
     def stats(self) -> DataFrame:
-        if self.known is None:      # not written: the table is larger than what it is made of
-            return self.sides.statistics(self.exclude_self)
+        if self.known is None:      # who reads it once takes sides.statistics(): the table is larger than what it is made of
+            made = self.sides.statistics(self.exclude_self)
+            return SE.materialize(made, "cf_pairs") if self.materialize else made
         todo = SIM.keyed_means(self._candidates(self.item_stats))
         todo = todo.join(self.known.select("item_i", "item_j"), ["item_i", "item_j"], "left_anti")
         # the items of the pairs: those of the warm targets and of their users' histories
         own = self.dedup.join(self.warm.select("user_id").distinct(), "user_id", "left_semi")
         items = self.warm.select("item_id").unionByName(own.select("item_id")).distinct()
-        return SIM.pair_statistics(todo, self.dedup, self.item_stats, items=items)
+        return SIM.pair_statistics(todo, self.dedup, self.item_stats, materialize=self.materialize, items=items)
 
     @cached_property
     def evaluated(self) -> DataFrame:
@@ -157,7 +158,8 @@ class CFParts:
 
     @cached_property
     def top(self) -> DataFrame:
-        return self._union(lambda part: top_neighbours(part, self.n))
+        # limited in each table, then ranked whole, whichever table has a target's rows
+        return top_neighbours(self._union(lambda part: top_neighbours(part, self.n).drop("rank")), self.n)
 
     @cached_property
     def scores(self) -> DataFrame:

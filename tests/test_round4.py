@@ -67,7 +67,7 @@ def test_packed_sums_are_those_of_the_rows(spark, monkeypatch, light, task):
 def test_no_pair_is_shuffled_or_written_as_a_row(spark):
     parts = _run(spark, 1)
     first = len(SE._written)
-    for df, by in ((parts.stats, "item_i"), (parts.top, "item_i")):
+    for df, by in ((parts.sides.statistics(), "item_i"), (parts.top, "item_i")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
         assert moved and not any("item_j" in line or "neighbour_id" in line for line in moved)
