@@ -16,7 +16,9 @@ the lengths of their lists.
   What that links is one component; only then members of *different*
   components meet inside a list, pruned by size and by a parity sketch, whose
   differing bits are a lower bound of the symmetric difference.  So a group of
-  thousands of copies never becomes all its pairs.
+  thousands of copies never becomes all its pairs.  Every entry carries its
+  sketch, so a set has only as many bits as its size asks for; two sets meet on
+  the fewer bits, to which the longer sketch folds.
 * Every candidate is verified on the whole sets.
 
 Null or empty text: an empty set, linked with nothing.  A null ``doc_id`` takes
@@ -41,7 +43,8 @@ from .common import WordHashes, connected_components, materialize, rolling, ship
 
 FLAG_BITS, CLASS_BITS = 27, 24      # fixed-size tables: 16 MB of bits, 16 MB of bytes
 RANGES = 10                         # 2**RANGES hash ranges, counted apart
-SKETCH_WORDS = 16                   # 1,024 parity bits a set
+SKETCH_WORDS = 16                   # 1,024 parity bits a set at most
+SKETCH_FILL = 35                    # percent of a sketch's bits that two linked sets may differ in; of unlike ones half do
 LARGEST_BOUNDARY = 30               # sizes that may enumerate subsets
 READS = 20                          # members of a list read at the cost of one entry written
 BUFFER = 1_000_000                  # shingles counted together by one map task
@@ -51,6 +54,28 @@ def shingle_set(text: bytes | None, width: int, memo: WordHashes) -> np.ndarray:
     return np.unique(rolling(memo.of(words_of(text)), width))
 
 
+def _packed(h: np.ndarray) -> bytes:
+    """Ascending hashes as a byte a hash's width and the gaps: two bytes each, or four bytes each as they are."""
+    gaps = np.diff(h)
+    if len(h) and gaps.max(initial=0) < 1 << 16:
+        return b"\2" + h[:1].astype("<u4").tobytes() + gaps.astype("<u2").tobytes()
+    return b"\4" + h.astype("<u4").tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    if packed[0] == 4:
+        return np.frombuffer(packed, "<u4", offset=1)
+    first, gaps = np.frombuffer(packed, "<u4", 1, offset=1), np.frombuffer(packed, "<u2", offset=5)
+    return np.concatenate([first, gaps]).cumsum(dtype=np.uint32)
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as ``_tables`` takes them."""
+    for batch in batches:
+        plain = [pa.array([_unpacked(x).astype("<u4").tobytes() for x in batch.column(c).to_pylist()], pa.binary()) for c in ("once", "more")]
+        yield pa.RecordBatch.from_arrays([batch.column("range"), *plain, batch.column("times")], ["range", "once", "more", "times"])
+
+
 def _counts(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, held, n = WordHashes(), [], 0
@@ -62,8 +87,7 @@ def _counts(width: int):
             for k, (a, b) in enumerate(itertools.pairwise([*cut, len(seen)])):
                 if a < b:
                     h, c = seen[a:b], count[a:b]
-                    rows.append((k, h[c == 1].astype("<u4").tobytes(), h[c > 1].astype("<u4").tobytes(),
-                                 c[c > 1].astype("<u4").tobytes()))
+                    rows.append((k, _packed(h[c == 1]), _packed(h[c > 1]), c[c > 1].astype("<u4").tobytes()))
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), *[pa.binary()] * 3))],
                 ["range", "once", "more", "times"])
@@ -130,7 +154,7 @@ def shingle_tables(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]
     rows = (docs.select(F.col("text").cast("binary"))
             .mapInArrow(_counts(width), "range int, once binary, more binary, times binary")
             .repartition(parts, "range").sortWithinPartitions("range")
-            .mapInArrow(_tables, "range int, flags binary, levels binary"))
+            .mapInArrow(lambda batches: _tables(_opened(batches)), "range int, flags binary, levels binary"))
     flags = np.zeros(1 << (FLAG_BITS - 3), np.uint8)
     levels = np.zeros(1 << CLASS_BITS, np.uint8)
     for r in rows.toLocalIterator():    # 2**RANGES rows at most, 32 MB in all whatever the input
@@ -197,6 +221,31 @@ def boundary(sizes: list[tuple[int, int, float]], percent: int) -> int:
     return best
 
 
+def sketch_limits(percent: int) -> list[tuple[int, int]]:
+    """(words, largest set that has so many) in ascending order; larger sets have ``SKETCH_WORDS``."""
+    words = [w for w in (2, 4, 8) if w < SKETCH_WORDS]
+    return [(w, 64 * w * SKETCH_FILL * (100 + percent) // max(200 * (100 - percent), 1)) for w in words]
+
+
+def sketch_of(s: np.ndarray, percent: int) -> np.ndarray:
+    """Parity of the hashes by their last bits, as whole words; beyond the words of the set's size all zero."""
+    bits = 64 * next((w for w, most in sketch_limits(percent) if len(s) <= most), SKETCH_WORDS)
+    parity = np.zeros(64 * SKETCH_WORDS, np.uint8)
+    np.bitwise_xor.at(parity, (s & np.uint64(bits - 1)).astype(np.int64), 1)
+    return np.packbits(parity).view("<i8")
+
+
+def apart(percent: int) -> str:
+    """SQL of the bits in which the sketches of ``l_`` and ``r_`` differ, both folded to the smaller set's words."""
+    differ = [f"l_s{i} ^ r_s{i}" for i in range(SKETCH_WORDS)]
+
+    def folded(words: int) -> str:
+        return " + ".join(f"bit_count({' ^ '.join(differ[j::words])})" for j in range(words))
+
+    cases = " ".join(f"WHEN least(l_n, r_n) <= {most} THEN {folded(w)}" for w, most in sketch_limits(percent))
+    return f"CASE {cases} ELSE {folded(SKETCH_WORDS)} END"
+
+
 def _keys(percent: int, b: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,9 +262,7 @@ def _keys(percent: int, b: int):
                     lead = n - math.ceil(n * percent / 100) + 1
                     own += (s[alone:lead] | np.uint64(1 << 63)).view(np.int64).tolist()   # sign bit: a shingle, not a subset
                 keys.append(own)
-                parity = np.zeros(64 * SKETCH_WORDS, np.uint8)
-                np.bitwise_xor.at(parity, (s & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), 1)
-                sketch.append(np.packbits(parity).view("<i8").tolist())
+                sketch.append(sketch_of(s, percent).tolist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("n"), pa.array(keys, pa.list_(pa.int64())),
                  pa.array(sketch, pa.list_(pa.int64()))], ["node", "n", "keys", "sketch"])
@@ -223,7 +270,9 @@ def _keys(percent: int, b: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough."""
+    """Pairs (a, b) whose whole sets are similar enough; only the sets of some pair are read further."""
+    pairs = materialize(pairs, "jaccard_pairs")
+    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -260,8 +309,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     def renamed(df: DataFrame, prefix: str) -> DataFrame:
         return df.select("key", *(F.col(c).alias(prefix + c) for c in df.columns if c != "key"))
 
-    apart = " + ".join(f"bit_count(l_s{i} ^ r_s{i})" for i in range(SKETCH_WORDS))
-    near = F.expr(f"{apart} <= l_n + r_n - 2 * (({percent} * (l_n + r_n) + {99 + percent}) div {100 + percent})")
+    near = F.expr(f"{apart(percent)} <= l_n + r_n - 2 * (({percent} * (l_n + r_n) + {99 + percent}) div {100 + percent})")
     near &= F.expr(f"100 * least(l_n, r_n) >= {percent} * greatest(l_n, r_n)")
     pair = (F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b"))
 

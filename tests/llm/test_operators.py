@@ -286,6 +286,39 @@ def test_counts_are_held_one_range_at_a_time():
     assert level[0] == 1 and level[(1 << 15) >> 8] == 2
 
 
+def test_counts_are_shuffled_in_two_bytes_a_hash():
+    import numpy as np
+
+    dense = np.unique(np.random.default_rng(3).integers(0, 1 << 22, 1000, dtype=np.uint32)) + np.uint32(7 << 22)
+    assert len(jaccard._packed(dense)) <= 2 * len(dense) + 8
+    for h in (dense, dense[:1], dense[:0], np.array([0, 65535, 131071, 2**32 - 1], np.uint32), np.array([5, 65540], np.uint32)):
+        assert jaccard._unpacked(jaccard._packed(h)).tolist() == h.tolist()
+
+
+def test_sketches_are_as_long_as_sets_ask_for(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    limits = jaccard.sketch_limits(80)
+    assert [w for w, _ in limits] == [2, 4, 8] and jaccard.sketch_limits(100)[0][1] > 1000
+    sets, rows = [], []
+    for n in (1, 90, limits[0][1], limits[0][1] + 9, limits[1][1], limits[1][1] + 30, limits[2][1] + 50):
+        s = rng.integers(0, 2**64, n, dtype=np.uint64)
+        sets += [s, np.append(s[n // 20 :], rng.integers(0, 2**64, 1 + n // 12, dtype=np.uint64)), rng.integers(0, 2**64, n, dtype=np.uint64)]
+    sketches = [jaccard.sketch_of(s, 80) for s in sets]
+    for s, sketch in zip(sets, sketches, strict=True):
+        words = next((w for w, most in limits if len(s) <= most), jaccard.SKETCH_WORDS)
+        assert len(sketch) == jaccard.SKETCH_WORDS and not sketch[words:].any()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            rows.append((i, j, len(a), len(b), len(np.setxor1d(a, b)), *sketches[i].tolist(), *sketches[j].tolist()))
+    both = [f"{side}_s{k} long" for side in "lr" for k in range(jaccard.SKETCH_WORDS)]
+    got = spark.createDataFrame(rows, "i int, j int, l_n long, r_n long, really long, " + ", ".join(both)).selectExpr("*", f"{jaccard.apart(80)} AS apart").collect()
+    assert all(r["apart"] <= r["really"] and r["apart"] % 2 == r["really"] % 2 for r in got)
+    alike = [r for r in got if r["l_n"] == r["r_n"] > 80 and r["really"] == 2 * r["l_n"]]
+    assert alike and all(r["apart"] > 2 * r["l_n"] / 9 for r in alike)           # more than linked sets may differ in
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["comp"] for r in connected_components(links, "t").collect()}
