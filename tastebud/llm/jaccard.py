@@ -12,13 +12,15 @@ the lengths of their lists.
   fixed size, indexed by hash: a bit for "in two documents or more" and the
   logarithm of the largest count.  They order shingles and drop documents that
   too few shared shingles can link; neither changes the result.
-* Lists are first joined to one leading member each (one row per list entry).
-  What that links is one component; only then members of *different*
-  components meet inside a list, pruned by size and by a parity sketch, whose
-  differing bits are a lower bound of the symmetric difference.  So a group of
-  thousands of copies never becomes all its pairs.  Every entry carries its
-  sketch, so a set has only as many bits as its size asks for; two sets meet on
-  the fewer bits, to which the longer sketch folds.
+* Lists hold numbers of sets and are first joined to one leading member each (one
+  row per list entry).  What that links is one component.  Lists that still hold
+  several components take other leading members, up to ``ROUNDS`` times, as long
+  as that leaves clearly fewer meetings, and still many; only then members of
+  *different* components meet inside a list, pruned by size and by a parity
+  sketch, whose differing bits are a lower bound of the symmetric difference.  So
+  a group of thousands of copies never becomes all its pairs.  Only entries of
+  such lists carry sketches; a set has as many bits as its size asks for, and two
+  sets meet on the fewer bits, to which the longer sketch folds.
 * Every candidate is verified on the whole sets.
 
 Null or empty text: an empty set, linked with nothing.  A null ``doc_id`` takes
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, connected_components, materialize, rolling, ship_package, words_of
@@ -44,7 +46,9 @@ from .common import WordHashes, connected_components, materialize, rolling, ship
 FLAG_BITS, CLASS_BITS = 27, 24      # fixed-size tables: 16 MB of bits, 16 MB of bytes
 RANGES = 10                         # 2**RANGES hash ranges, counted apart
 SKETCH_WORDS = 16                   # 1,024 parity bits a set at most
-SKETCH_FILL = 35                    # percent of a sketch's bits that two linked sets may differ in; of unlike ones half do
+SKETCH_FILL = 8                     # percent of a sketch's bits that two linked sets may differ in; sets somewhat alike differ in more
+ROUNDS = 3                          # leading members that lists take one after another at most
+MEETINGS = 20                       # of members of different components, for an entry, beyond which lists take another one
 LARGEST_BOUNDARY = 30               # sizes that may enumerate subsets
 READS = 20                          # members of a list read at the cost of one entry written
 BUFFER = 1_000_000                  # shingles counted together by one map task
@@ -189,8 +193,8 @@ def _sets(width: int, percent: int, tables):
                     seen.clear()
                 level = np.where(in_two, levels[(s >> np.uint64(64 - CLASS_BITS)).astype(np.int64)] + 1, 0)
                 order = np.lexsort((s, level))
-                packed[-1] = s[order].view(np.int64).tolist()
                 shared[-1] = alone = int(len(s) - in_two.sum())
+                packed[-1] = s[order][alone:].view(np.int64).tolist()   # the others are in no other set
                 lists = level[order][alone : len(s) - math.ceil(len(s) * percent / 100) + 1]
                 price[-1] = float((1 + np.exp2(lists - 1.0) / READS).sum())
             yield pa.RecordBatch.from_arrays(
@@ -227,9 +231,13 @@ def sketch_limits(percent: int) -> list[tuple[int, int]]:
     return [(w, 64 * w * SKETCH_FILL * (100 + percent) // max(200 * (100 - percent), 1)) for w in words]
 
 
-def sketch_of(s: np.ndarray, percent: int) -> np.ndarray:
-    """Parity of the hashes by their last bits, as whole words; beyond the words of the set's size all zero."""
-    bits = 64 * next((w for w, most in sketch_limits(percent) if len(s) <= most), SKETCH_WORDS)
+def sketch_of(s: np.ndarray, percent: int, n: int | None = None) -> np.ndarray:
+    """Parity of the hashes by their last bits, as whole words; beyond the words of the set's size all zero.
+
+    ``n``: the set's size where ``s`` lacks the shingles that no other set has.
+    """
+    size = len(s) if n is None else n
+    bits = 64 * next((w for w, most in sketch_limits(percent) if size <= most), SKETCH_WORDS)
     parity = np.zeros(64 * SKETCH_WORDS, np.uint8)
     np.bitwise_xor.at(parity, (s & np.uint64(bits - 1)).astype(np.int64), 1)
     return np.packbits(parity).view("<i8")
@@ -254,30 +262,61 @@ def _keys(percent: int, b: int):
                 s = np.array(shingles, np.int64).view(np.uint64)
                 own = []
                 if n <= b:
-                    common = s[alone:].tolist()   # a subset with a shingle of its own is in no other set
+                    common = s.tolist()   # a subset with a shingle of its own is in no other set
                     for size in range(math.ceil(n * percent / 100), n + 1):
                         own += [xxhash.xxh64_intdigest(np.array(sorted(x), "<u8").tobytes(), seed=size) >> 1
                                 for x in itertools.combinations(common, size)]
                 if n > b or 100 * n >= percent * (b + 1):
-                    lead = n - math.ceil(n * percent / 100) + 1
-                    own += (s[alone:lead] | np.uint64(1 << 63)).view(np.int64).tolist()   # sign bit: a shingle, not a subset
+                    lead = n - math.ceil(n * percent / 100) + 1 - alone
+                    own += (s[:lead] | np.uint64(1 << 63)).view(np.int64).tolist()   # sign bit: a shingle, not a subset
                 keys.append(own)
-                sketch.append(sketch_of(s, percent).tolist())
+                sketch.append(sketch_of(s, percent, n).tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(sketch, pa.list_(pa.int64()))], ["node", "n", "keys", "sketch"])
+                [batch.column("id"), batch.column("n"), batch.column("alone"), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(sketch, pa.list_(pa.int64()))], ["id", "n", "alone", "keys", "sketch"])
     return run
 
 
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select("key", *(F.col(c).alias(prefix + c) for c in df.columns if c != "key"))
+
+
+def _near(percent: int) -> Column:
+    """Whether sizes and sketches of ``l_`` and ``r_`` leave room for a link."""
+    near = F.expr(f"{apart(percent)} + l_alone + r_alone <= l_n + r_n - 2 * (({percent} * (l_n + r_n) + {99 + percent}) div {100 + percent})")
+    return near & F.expr(f"100 * least(l_n, r_n) >= {percent} * greatest(l_n, r_n)")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose whole sets are similar enough; only the sets of some pair are read further."""
     pairs = materialize(pairs, "jaccard_pairs")
-    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(a, "a").join(b, "b")
-            .filter(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
+    return pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
+
+
+def _with_heads(open_lists: DataFrame, order: int) -> DataFrame:
+    """Distinct pairs (a, b) of a list's leading member, another one for each ``order``, and its members of other components."""
+    head = open_lists.groupBy("key").agg(F.max(F.struct(F.xxhash64("id", F.lit(order)), "id", "comp")).alias("head"))
+    return (open_lists.join(head.select("key", F.col("head.id").alias("h"), F.col("head.comp").alias("h_comp")), "key")
+            .filter("comp <> h_comp").select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct())
+
+
+def _several(entries: DataFrame, comps: DataFrame) -> DataFrame:
+    """Entries (key, id) with ``comp``, of the lists that hold several components."""
+    known = entries.select("key", "id").join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    return materialize(known.join(mixed, "key").select("key", "id", "comp"), "jaccard_open")
+
+
+def _meetings(open_lists: DataFrame) -> float:
+    """How many members of other components an entry's list holds, on average."""
+    own = open_lists.groupBy("key", "comp").agg(F.count("*").cast("double").alias("c"))
+    lists = own.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("cc"))
+    met, entries = lists.agg(F.sum(F.col("m") * F.col("m") - F.col("cc")), F.sum("m")).first()
+    return met / entries if entries else 0.0
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -293,44 +332,46 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     rows = materialize(docs.mapInArrow(
         _sets(width, percent, tables), "doc_id long, n long, node binary, shingles array<long>, alone int, price double"), "jaccard_rows")
     sets = materialize(rows.filter("shingles is not null").dropDuplicates(["node"])
-                       .select("node", "n", "shingles", "alone", "price"), "jaccard_sets")
+                       .select(F.monotonically_increasing_id().alias("id"), "node", "n", "shingles", "alone", "price"), "jaccard_sets")
 
     sizes = [tuple(r) for r in sets.filter(F.col("n") <= LARGEST_BOUNDARY)
              .groupBy("n").agg(F.count("*"), F.sum("price")).collect()]
     b = boundary(sizes, percent)
-    keyed = materialize(sets.mapInArrow(
-        _keys(percent, b), "node binary, n long, keys array<long>, sketch array<long>").filter("size(keys) > 0"), "jaccard_keys")
+    keyed = materialize(sets.select("id", "n", "shingles", "alone").mapInArrow(
+        _keys(percent, b), "id long, n long, alone int, keys array<long>, sketch array<long>").filter("size(keys) > 0"), "jaccard_keys")
+    sketches = keyed.select("id", "n", "alone", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)))
 
-    bits = [F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)]
-    entries = keyed.select(F.explode("keys").alias("key"), "node", "n", F.size("keys").alias("weight"), *bits)
-    shared = entries.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
+    entries = keyed.select(F.explode("keys").alias("key"), "id")
+    shared = entries.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
     entries = materialize(entries.join(shared, "key"), "jaccard_entries")
 
-    def renamed(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select("key", *(F.col(c).alias(prefix + c) for c in df.columns if c != "key"))
-
-    near = F.expr(f"{apart(percent)} <= l_n + r_n - 2 * (({percent} * (l_n + r_n) + {99 + percent}) div {100 + percent})")
-    near &= F.expr(f"100 * least(l_n, r_n) >= {percent} * greatest(l_n, r_n)")
-    pair = (F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b"))
-
-    head = entries.groupBy("key").agg(F.max(F.struct("weight", "node", "n", *(f"s{i}" for i in range(SKETCH_WORDS)))).alias("x"))
-    head = head.select("key", "x.*").drop("weight")
-    first = (renamed(entries, "l_").join(renamed(head, "r_"), "key")
-             .filter((F.col("l_node") != F.col("r_node")) & near).select(*pair).distinct())
-    links = materialize(_verified(first, sets, percent), "jaccard_links")
-    comps = materialize(connected_components(links, "jaccard_cc"), "jaccard_comps")
-
-    known = entries.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    known = materialize(known.join(mixed, "key").drop("weight"), "jaccard_open")
-    rest = (renamed(known, "l_").join(renamed(known, "r_"), "key")
-            .filter((F.col("l_comp") != F.col("r_comp")) & (F.col("l_node") < F.col("r_node")) & near)
-            .select(*pair).distinct())
-    links = links.unionByName(_verified(rest, sets, percent))
-    comps = connected_components(links, "jaccard_cc2")
-
-    classes = (rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-               .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    def linked(pairs: DataFrame) -> DataFrame:
+        for side, end in (("l_", "a"), ("r_", "b")):
+            pairs = pairs.join(sketches.select(*(F.col(c).alias(side + c) for c in sketches.columns)), F.col(end) == F.col(f"{side}id"))
+        return materialize(_verified(pairs.filter(_near(percent)).select("a", "b"), sets, percent), "jaccard_links")
+
+    open_lists = entries.withColumn("comp", F.col("id"))
+    links, before = None, math.inf
+    for order in range(ROUNDS):
+        found = linked(_with_heads(open_lists, order))
+        if found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        open_lists = _several(open_lists, materialize(connected_components(links, "jaccard_cc"), "jaccard_comps"))
+        met = _meetings(open_lists)
+        if met <= MEETINGS or met > 0.8 * before:
+            break
+        before = met
+
+    known = materialize(open_lists.join(sketches, "id"), "jaccard_met")
+    rest = (_prefixed(known, "l_").join(_prefixed(known, "r_"), "key")
+            .filter((F.col("l_comp") != F.col("r_comp")) & (F.col("l_id") < F.col("r_id")) & _near(percent))
+            .select(F.col("l_id").alias("a"), F.col("r_id").alias("b")).distinct())
+    rest = _verified(rest, sets, percent)
+    comps = connected_components(rest if links is None else links.unionByName(rest), "jaccard_cc2")
+
+    ids = sets.select("node", "id").join(comps.withColumnRenamed("node", "id"), "id", "left").select("node", F.coalesce("comp", "id").alias("comp"))
+    classes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(ids, "node")
     low = classes.groupBy("comp").agg(F.min("low").alias("component_id"))
     ids = materialize(classes.join(low, "comp").select("node", "component_id"), "jaccard_ids")
     return (rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(ids, "node", "left")

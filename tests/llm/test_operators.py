@@ -319,6 +319,24 @@ def test_sketches_are_as_long_as_sets_ask_for(spark):
     assert alike and all(r["apart"] > 2 * r["l_n"] / 9 for r in alike)           # more than linked sets may differ in
 
 
+def test_copies_below_the_threshold_are_not_all_verified(spark, monkeypatch):
+    rng = random.Random(8)
+    base = words(rng, 150)
+
+    def changed(times):
+        w = list(base)
+        for k in range(times):
+            w[rng.randrange(15 + 60 * k, 65 + 60 * k)] = f"z{rng.getrandbits(40)}"
+        return " ".join(w)
+
+    rows = list(enumerate([changed(2) for _ in range(80)] + [changed(1) for _ in range(4)]))     # mostly at 0.80: many meet, few link
+    verified, pairs = jaccard._verified, []
+    monkeypatch.setattr(jaccard, "_verified", lambda p, *a: pairs.append(p.count()) or verified(p, *a))
+    got = sorted(tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(components(rows, 4, 85))
+    assert pairs[-1] < 0.05 * 80 * 79 / 2
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["comp"] for r in connected_components(links, "t").collect()}
