@@ -297,9 +297,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
-def _with_heads(open_lists: DataFrame, order: int) -> DataFrame:
-    """Distinct pairs (a, b) of a list's leading member, another one for each ``order``, and its members of other components."""
-    head = open_lists.groupBy("key").agg(F.max(F.struct(F.xxhash64("id", F.lit(order)), "id", "comp")).alias("head"))
+def _with_heads(open_lists: DataFrame, rank: Column) -> DataFrame:
+    """Distinct pairs (a, b) of a list's member of highest ``rank`` and its members of other components."""
+    head = open_lists.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "id", "comp")).alias("head"))
     return (open_lists.join(head.select("key", F.col("head.id").alias("h"), F.col("head.comp").alias("h_comp")), "key")
             .filter("comp <> h_comp").select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct())
 
@@ -341,7 +341,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
         _keys(percent, b), "id long, n long, alone int, keys array<long>, sketch array<long>").filter("size(keys) > 0"), "jaccard_keys")
     sketches = keyed.select("id", "n", "alone", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)))
 
-    entries = keyed.select(F.explode("keys").alias("key"), "id")
+    entries = keyed.select(F.explode("keys").alias("key"), "id", F.size("keys").alias("weight"))
     shared = entries.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
     entries = materialize(entries.join(shared, "key"), "jaccard_entries")
 
@@ -353,7 +353,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     open_lists = entries.withColumn("comp", F.col("id"))
     links, before = None, math.inf
     for order in range(ROUNDS):
-        found = linked(_with_heads(open_lists, order))
+        # first the least changed of many copies; then any member, another one in each list, so that a set meets many of a component
+        found = linked(_with_heads(open_lists, F.xxhash64("id", "key", F.lit(order)) if order else F.col("weight")))
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
